@@ -35,7 +35,7 @@ def high_aqi_days(star: Star) -> DataFrame:
     )
 
 
-def compare_pollution_metrics_by_city(star: Star, freq: str, digits: int = 6) -> DataFrame:
+def compare_pollution_metrics_by_city(star: Star, freq: str, digits: int = 9) -> DataFrame:
     """Average AQI, PM2.5 and PM10 per city and period, each ranked within the period.
 
     PM averages are ranked at ``digits`` decimals: sums of fractions differ in the last
