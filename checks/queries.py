@@ -270,10 +270,9 @@ STRETCH = {"pm25": 9.0, "pm10": 9.0, "co": 9.0, "so2": 12.6, "no2": 9.0, "o3": 9
 def _sub_index_query(pollutant: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         value = co_milligrams() if pollutant == "co" else F.col(pollutant)
-        stretched = value * F.lit(STRETCH[pollutant])
-        return fx.readings(spark, sf_dir).select(
-            "event_id", stretched.alias("concentration"), sub_index(pollutant, stretched).alias("sub_index")
-        )
+        stretched = (value * F.lit(STRETCH[pollutant])).alias("concentration")
+        rows = fx.readings(spark, sf_dir).select("event_id", stretched)
+        return rows.withColumn("sub_index", sub_index(pollutant, "concentration"))
 
     return run
 

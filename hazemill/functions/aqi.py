@@ -24,45 +24,50 @@ CONCENTRATION_BANDS = {
 }
 
 
-def _outside_if_null(concentration: Column | str) -> Column:
-    # A column that cannot be null keeps the generated code of the 42 branches small
-    # enough for the JIT (8000 bytes a method). NaN sorts above every band.
-    c = F.col(concentration) if isinstance(concentration, str) else concentration
-    return F.coalesce(c.cast("double"), F.lit(float("nan")))
+def _raw_index(pollutant: str, concentration: str) -> str:
+    # SQL text, because building the 42 bands of an AQI from Column calls takes over a second.
+    # The coalesce makes a value that cannot be null, which keeps the generated code below the
+    # 8000 bytes a method may have to be compiled by the JVM. NaN sorts above every band.
+    c = f"coalesce(CAST({concentration} AS DOUBLE), DOUBLE('NaN'))"
+    bands = zip(CONCENTRATION_BANDS[pollutant], INDEX_BANDS)
+    cases = (
+        f"WHEN {c} >= {low}D AND {c} <= {high}D "
+        f"THEN {i_high - i_low}D / ({high}D - {low}D) * ({c} - {low}D) + {i_low}D"
+        for (low, high), (i_low, i_high) in bands
+    )
+    return f"CASE {' '.join(cases)} END"
 
 
-def sub_index(pollutant: str, concentration: Column | str) -> Column:
-    """Sub-index (INT, null outside every band) of one pollutant; co is expected in mg/m³."""
+def sub_index(pollutant: str, concentration: str) -> Column:
+    """Sub-index (INT, null outside every band) of one pollutant.
+
+    ``concentration`` is a column name or SQL expression; co is expected in mg/m³.
+    """
     if pollutant not in CONCENTRATION_BANDS:
         raise ValueError(f"unknown pollutant {pollutant!r}, expected one of {list(CONCENTRATION_BANDS)}")
-    c = _outside_if_null(concentration)
-    index = None
-    for (c_low, c_high), (i_low, i_high) in zip(CONCENTRATION_BANDS[pollutant], INDEX_BANDS):
-        slope = F.lit(float(i_high - i_low)) / F.lit(float(c_high - c_low))
-        inside = c.between(F.lit(float(c_low)), F.lit(float(c_high)))
-        value = slope * (c - F.lit(float(c_low))) + F.lit(float(i_low))
-        index = F.when(inside, value) if index is None else index.when(inside, value)
     # rint rounds halves to even; round() would round them up.
-    return F.rint(index).cast("int")
+    return F.expr(f"CAST(rint({_raw_index(pollutant, concentration)}) AS INT)")
 
 
-def co_milligrams(co: Column | str = "co") -> Column:
+def co_milligrams(co: str = "co") -> Column:
     """µg/m³ to mg/m³, the unit of the co bands; the stored co stays in µg/m³."""
-    return (F.col(co) if isinstance(co, str) else co) / F.lit(1000.0)
+    return F.col(co) / F.lit(1000.0)
 
 
 def aqi(
-    pm25: Column | str = "pm25",
-    pm10: Column | str = "pm10",
-    co_mg: Column | str = "co_mg",
-    so2: Column | str = "so2",
-    no2: Column | str = "no2",
-    o3: Column | str = "o3",
+    pm25: str = "pm25",
+    pm10: str = "pm10",
+    co_mg: str = "co_mg",
+    so2: str = "so2",
+    no2: str = "no2",
+    o3: str = "o3",
     strict: bool = False,
 ) -> Column:
     """Largest sub-index; null when there is none, or an error with ``strict``."""
     measured = {"pm25": pm25, "pm10": pm10, "co": co_mg, "so2": so2, "no2": no2, "o3": o3}
-    worst = F.greatest(*(sub_index(name, c) for name, c in measured.items()))
+    raw = ", ".join(_raw_index(name, c) for name, c in measured.items())
+    # Rounding keeps the order, so one rounding after the maximum is enough.
+    worst = F.expr(f"CAST(rint(greatest({raw})) AS INT)")
     if strict:
         return F.coalesce(worst, F.raise_error(F.lit("AQI: every sub-index is empty")).cast("int"))
     return worst

@@ -34,7 +34,7 @@ def impute_zero(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def conform(df: DataFrame, schema: StructType) -> DataFrame:
     """The columns of ``schema``, in order and cast to its types; a cast that loses a value fails."""
-    return df.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields))
+    return df.selectExpr(*(f"CAST({f.name} AS {f.dataType.simpleString()}) AS {f.name}" for f in schema.fields))
 
 
 def explode_hourly(documents: DataFrame, measures: Sequence[str], strict: bool = False) -> DataFrame:

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, GroupedData
 from pyspark.sql import functions as F
 
 POLLUTION = ("aqi", "pm10", "pm25")
 WEATHER = ("rain", "wind_speed", "humidity", "temperature")
 CELL = ("city_id", "date_id", "time_id")
+# Share of the squares that rounding may leave as variance.
+ROUNDING = "1e-13D"
 LABELS = {"aqi": "AQI", "pm10": "PM10", "pm25": "PM2.5"}
 # The labels older reports used: the two PM rows are swapped.
 LEGACY_LABELS = {"aqi": "AQI", "pm10": "PM2.5", "pm25": "PM10"}
@@ -27,48 +29,42 @@ def weather_pollution_correlation(
     air = _cell_sums(fact_air, POLLUTION, "air_rows")
     weather = _cell_sums(fact_weather, WEATHER, "weather_rows")
     cells = weather.join(air, list(CELL))
-    totals = [F.sum(F.col("air_rows") * F.col("weather_rows")).alias("n")]
+    totals = ["sum(air_rows * weather_rows) AS n"]
     for measures, other_rows in ((POLLUTION, "weather_rows"), (WEATHER, "air_rows")):
         for m in measures:
             totals += [
-                F.sum(F.col(f"{m}_sum") * F.col(other_rows)).alias(f"{m}_sum"),
-                F.sum(F.col(f"{m}_squares") * F.col(other_rows)).alias(f"{m}_squares"),
-                F.min(f"{m}_min").alias(f"{m}_min"),
-                F.max(f"{m}_max").alias(f"{m}_max"),
+                f"sum({m}_sum * {other_rows}) AS {m}_sum",
+                f"sum({m}_squares * {other_rows}) AS {m}_squares",
             ]
-    totals += [
-        F.sum(F.col(f"{p}_sum") * F.col(f"{w}_sum")).alias(f"{p}_{w}") for p in POLLUTION for w in WEATHER
-    ]
+    totals += [f"sum({p}_sum * {w}_sum) AS {p}_{w}" for p in POLLUTION for w in WEATHER]
     labels = LEGACY_LABELS if legacy_labels else LABELS
     rows = [
-        F.struct(F.lit(labels[p]).alias("metric"), *(_pearson(p, w).alias(w) for w in WEATHER)) for p in POLLUTION
+        f"named_struct('metric', '{labels[p]}', " + ", ".join(f"'{w}', {_pearson(p, w)}" for w in WEATHER) + ")"
+        for p in POLLUTION
     ]
-    return cells.agg(*totals).select(F.inline(F.array(*rows)))
+    return _aggregate(cells, totals).selectExpr(f"inline(array({', '.join(rows)}))")
+
+
+def _aggregate(df: DataFrame | GroupedData, expressions: list[str]) -> DataFrame:
+    return df.agg(*(F.expr(e) for e in expressions))
 
 
 def _cell_sums(fact: DataFrame, measures: tuple[str, ...], rows: str) -> DataFrame:
     # Pair counts pass the range of a LONG long before they lose precision as doubles.
-    sums: list[Column] = [F.count(F.lit(1)).cast("double").alias(rows)]
+    sums = [f"CAST(count(1) AS DOUBLE) AS {rows}"]
     for m in measures:
-        value = F.col(m).cast("double")
-        sums += [
-            F.sum(value).alias(f"{m}_sum"),
-            F.sum(value * value).alias(f"{m}_squares"),
-            F.min(value).alias(f"{m}_min"),
-            F.max(value).alias(f"{m}_max"),
-        ]
-    return fact.groupBy(*CELL).agg(*sums)
+        sums += [f"sum({m}) AS {m}_sum", f"sum({m} * {m}) AS {m}_squares"]
+    return _aggregate(fact.groupBy(*CELL), sums)
 
 
-def _spread(m: str) -> Column:
-    # n² times the variance; exactly 0 where all values are equal, whatever the rounding.
-    square = F.col("n") * F.col(f"{m}_squares") - F.col(f"{m}_sum") * F.col(f"{m}_sum")
-    return F.when(F.col(f"{m}_min") < F.col(f"{m}_max"), square).otherwise(F.lit(0.0))
+def _spread(m: str) -> str:
+    # n² times the variance. What is left of equal values is rounding error, and counts as 0.
+    spread = f"(n * {m}_squares - {m}_sum * {m}_sum)"
+    return f"CASE WHEN {spread} > {ROUNDING} * n * {m}_squares THEN {spread} ELSE 0D END"
 
 
-def _pearson(p: str, w: str) -> Column:
-    joint = F.col("n") * F.col(f"{p}_{w}") - F.col(f"{p}_sum") * F.col(f"{w}_sum")
-    scale = F.sqrt(_spread(p)) * F.sqrt(_spread(w))
-    r = F.coalesce(F.try_divide(joint, scale), F.lit(float("nan")))
-    # Rounding can carry a perfect correlation past 1. (NaN compares above every number.)
-    return F.when((F.abs(r) <= 1) | F.isnan(r), r).otherwise(F.signum(r))
+def _pearson(p: str, w: str) -> str:
+    joint = f"n * {p}_{w} - {p}_sum * {w}_sum"
+    r = f"try_divide({joint}, sqrt({_spread(p)}) * sqrt({_spread(w)}))"
+    # Rounding can carry a perfect correlation past 1.
+    return f"coalesce(CASE WHEN abs({r}) > 1D THEN signum({r}) ELSE {r} END, DOUBLE('NaN'))"

@@ -14,7 +14,11 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     # Dimensions are broadcast when Spark measures them below this size, never by hint.
     "spark.sql.autoBroadcastJoinThreshold": "64MB",
-    "spark.sql.parquet.filterPushdown": "true",
+    # Recording the call site of every column operation makes plans slow to build.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
+    # Generated methods above 8000 bytes (several AQIs in one stage) are compiled as well.
+    "spark.driver.extraJavaOptions": "-XX:-DontCompileHugeMethods",
+    "spark.executor.extraJavaOptions": "-XX:-DontCompileHugeMethods",
 }
 
 

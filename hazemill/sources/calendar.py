@@ -2,30 +2,28 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hazemill.functions.dates import day_of_week, is_weekend, time_bucket
 
 
 def with_date_parts(days: DataFrame, day: str = "full_date") -> DataFrame:
-    d = F.col(day)
     return days.select(
-        d.alias("full_date"),
-        F.dayofmonth(d).alias("day"),
-        F.month(d).alias("month"),
-        F.year(d).alias("year"),
-        F.quarter(d).alias("quarter"),
-        is_weekend(d).alias("is_weekend"),
-        day_of_week(d).alias("day_of_week"),
+        F.col(day).alias("full_date"),
+        F.dayofmonth(day).alias("day"),
+        F.month(day).alias("month"),
+        F.year(day).alias("year"),
+        F.quarter(day).alias("quarter"),
+        is_weekend(day).alias("is_weekend"),
+        day_of_week(day).alias("day_of_week"),
     )
 
 
 def days_of_years(years: DataFrame, year: str = "year") -> DataFrame:
     """One row per day of every year listed."""
-    first, last = (F.make_date(F.col(year), F.lit(m), F.lit(d)) for m, d in ((1, 1), (12, 31)))
-    step: Column = F.expr("interval 1 day")
-    return with_date_parts(years.select(F.explode(F.sequence(first, last, step)).alias("full_date")))
+    days = f"explode(sequence(make_date({year}, 1, 1), make_date({year}, 12, 31), INTERVAL 1 DAY)) AS full_date"
+    return with_date_parts(years.selectExpr(days))
 
 
 def generate_dates(spark: SparkSession, year: int | None = None) -> DataFrame:
