@@ -15,6 +15,7 @@ from hazemill.operators import clean, constraints, load
 from hazemill.plans import air, weather
 from hazemill.plans.correlation import weather_pollution_correlation
 from hazemill.plans.jobs import Zones, daily_facts, refresh_dimensions
+from hazemill.plans.star import Star
 from hazemill.schemas import HOURLY_AIR
 from hazemill.session import scratch_path
 from hazemill.sources import calendar, landing, manifest, processed
@@ -454,98 +455,104 @@ def lookup_misses(spark, sf_dir):
 
 # Reports
 
+STARS = {"air": fx.star_air, "weather": fx.star_weather}
+REPORTS: dict[str, tuple[str, Callable[[Star], DataFrame]]] = {}
 
-@query("star_weather")
-def star_weather(spark, sf_dir):
-    return fx.star_weather(spark, sf_dir).view()
 
+def report(name: str, fact: str) -> Callable:
+    """Register a function of a star schema, and its query over the star of the given tables."""
 
-@query("star_air")
-def star_air(spark, sf_dir):
-    return fx.star_air(spark, sf_dir).view(week=True)
+    def register(function: Callable[[Star], DataFrame]) -> Callable[[Star], DataFrame]:
+        REPORTS[name] = (fact, function)
+        QUERIES[name] = lambda spark, sf_dir: function(STARS[fact](spark, sf_dir))
+        return function
+
+    return register
+
+
+@report("star_weather", "weather")
+def star_weather(star):
+    return star.view()
+
+
+@report("star_air", "air")
+def star_air(star):
+    return star.view(week=True)
 
 
-@query("avg_weather_hour")
-def avg_weather_hour(spark, sf_dir):
-    return weather.avg_weather_by_time(fx.star_weather(spark, sf_dir), "hour")
+@report("avg_weather_hour", "weather")
+def avg_weather_hour(star):
+    return weather.avg_weather_by_time(star, "hour")
 
 
-@query("avg_weather_day")
-def avg_weather_day(spark, sf_dir):
-    return rounded(weather.avg_weather_by_time(fx.star_weather(spark, sf_dir), "day"), weather.AVERAGES)
+@report("avg_weather_day", "weather")
+def avg_weather_day(star):
+    return rounded(weather.avg_weather_by_time(star, "day"), weather.AVERAGES)
 
 
-@query("avg_weather_day_city")
-def avg_weather_day_city(spark, sf_dir):
-    star = fx.star_weather(spark, sf_dir)
+@report("avg_weather_day_city", "weather")
+def avg_weather_day_city(star):
     return rounded(weather.avg_weather_by_time(star, "day", city_id=7), weather.AVERAGES)
 
 
-@query("avg_weather_month")
-def avg_weather_month(spark, sf_dir):
-    return rounded(weather.avg_weather_by_time(fx.star_weather(spark, sf_dir), "month"), weather.AVERAGES)
+@report("avg_weather_month", "weather")
+def avg_weather_month(star):
+    return rounded(weather.avg_weather_by_time(star, "month"), weather.AVERAGES)
 
 
-@query("national_month")
-def national_month(spark, sf_dir):
-    summary = weather.national_weather_summary(fx.star_weather(spark, sf_dir))
-    return rounded(summary, ["avg_temp", "avg_hum", "avg_wind"])
+@report("national_month", "weather")
+def national_month(star):
+    return rounded(weather.national_weather_summary(star), ["avg_temp", "avg_hum", "avg_wind"])
 
 
-@query("extreme_aqi_month")
-def extreme_aqi_month(spark, sf_dir):
-    return rounded(air.extreme_avg_aqi_by_time(fx.star_air(spark, sf_dir), "month"), ["avg_aqi"])
+@report("extreme_aqi_month", "air")
+def extreme_aqi_month(star):
+    return rounded(air.extreme_avg_aqi_by_time(star, "month"), ["avg_aqi"])
 
 
-@query("extreme_aqi_year")
-def extreme_aqi_year(spark, sf_dir):
-    return rounded(air.extreme_avg_aqi_by_time(fx.star_air(spark, sf_dir), "year"), ["avg_aqi"])
+@report("extreme_aqi_year", "air")
+def extreme_aqi_year(star):
+    return rounded(air.extreme_avg_aqi_by_time(star, "year"), ["avg_aqi"])
 
 
-@query("high_aqi")
-def high_aqi(spark, sf_dir):
-    return air.high_aqi_days(fx.star_air(spark, sf_dir))
+@report("high_aqi", "air")
+def high_aqi(star):
+    return air.high_aqi_days(star)
 
 
-def _compare(spark: SparkSession, sf_dir: str, freq: str) -> DataFrame:
-    compared = air.compare_pollution_metrics_by_city(fx.star_air(spark, sf_dir), freq)
-    return rounded(compared, ["avg_aqi", "avg_pm25", "avg_pm10"])
+@report("compare_month", "air")
+def compare_month(star):
+    return rounded(air.compare_pollution_metrics_by_city(star, "month"), ["avg_aqi", "avg_pm25", "avg_pm10"])
 
 
-@query("compare_month")
-def compare_month(spark, sf_dir):
-    return _compare(spark, sf_dir, "month")
+@report("compare_year", "air")
+def compare_year(star):
+    return rounded(air.compare_pollution_metrics_by_city(star, "year"), ["avg_aqi", "avg_pm25", "avg_pm10"])
 
 
-@query("compare_year")
-def compare_year(spark, sf_dir):
-    return _compare(spark, sf_dir, "year")
+@report("peak_hours", "air")
+def peak_hours(star):
+    return rounded(air.peak_pollution_hours(star, limit=2), ["aqi"])
 
 
-def _correlation(spark: SparkSession, sf_dir: str, legacy_labels: bool) -> DataFrame:
-    facts = fx.fact_weather(spark, sf_dir), fx.fact_air(spark, sf_dir)
-    correlation = weather_pollution_correlation(*facts, legacy_labels=legacy_labels)
-    return rounded(correlation, ["rain", "wind_speed", "humidity", "temperature"])
+@report("peak_hours_city", "air")
+def peak_hours_city(star):
+    return rounded(air.peak_pollution_hours(star, limit=3, city_id=7), ["aqi"])
+
+
+def correlation(fact_weather: DataFrame, fact_air: DataFrame, legacy_labels: bool = False) -> DataFrame:
+    found = weather_pollution_correlation(fact_weather, fact_air, legacy_labels)
+    return rounded(found, ["rain", "wind_speed", "humidity", "temperature"])
 
 
 @query("weather_aqi_corr")
 def weather_aqi_corr(spark, sf_dir):
-    return _correlation(spark, sf_dir, legacy_labels=False)
+    return correlation(fx.fact_weather(spark, sf_dir), fx.fact_air(spark, sf_dir))
 
 
 @query("weather_aqi_corr_legacy")
 def weather_aqi_corr_legacy(spark, sf_dir):
-    return _correlation(spark, sf_dir, legacy_labels=True)
-
-
-@query("peak_hours")
-def peak_hours(spark, sf_dir):
-    return rounded(air.peak_pollution_hours(fx.star_air(spark, sf_dir), limit=2), ["aqi"])
-
-
-@query("peak_hours_city")
-def peak_hours_city(spark, sf_dir):
-    return rounded(air.peak_pollution_hours(fx.star_air(spark, sf_dir), limit=3, city_id=7), ["aqi"])
+    return correlation(fx.fact_weather(spark, sf_dir), fx.fact_air(spark, sf_dir), legacy_labels=True)
 
 
 # Jobs
