@@ -1,8 +1,10 @@
 """Time the headline queries; prints one JSON line.
 
 BENCH_SF_DIR (default /root/testdata/sf0.1) is the data, BENCH_CPUS (default 8) the cores.
-Each query runs once to warm up; its value is the median of the next three runs. Results
-go to the noop sink, which computes every column of every row.
+``store_facts`` derives both fact tables from the given tables, AQI included, and writes
+them; the reports then read those tables, as they would read the warehouse. The other
+queries read the given tables. Each query runs once to warm up; its value is the median of
+the next three runs. Results go to the noop sink, which computes every column of every row.
 """
 
 from __future__ import annotations
@@ -12,39 +14,59 @@ import os
 import statistics
 import sys
 import time
+from collections.abc import Callable
 from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
-from checks.queries import QUERIES
-from hazemill.session import build_session
+from pyspark.sql import DataFrame, SparkSession
 
-HEADLINE = [
+from checks import fixtures as fx
+from checks.queries import QUERIES, REPORTS, correlation
+from hazemill.plans.star import Star
+from hazemill.session import build_session, scratch_path
+
+FROM_TABLES = [
     "aqi_hourly",
     "explode_hourly",
     "dedup_first",
+    "latest_snapshot",
+    "clean_city",
+    "first_geocode",
     "fetch_manifest",
+    "upsert_city",
     "load_fact_aq",
     "load_fact_weather",
     "fk_violations",
+    "null_violations",
     "lookup_misses",
-    "star_air",
-    "star_weather",
-    "avg_weather_hour",
-    "avg_weather_day",
-    "avg_weather_month",
-    "national_month",
-    "extreme_aqi_month",
-    "extreme_aqi_year",
-    "high_aqi",
-    "compare_month",
-    "compare_year",
-    "weather_aqi_corr",
-    "peak_hours",
 ]
 RUNS = 3
 
 
+def noop(df: DataFrame) -> None:
+    df.write.format("noop").mode("overwrite").save()
+
+
+def timed(action: Callable[[], None]) -> float:
+    runs = []
+    for _ in range(1 + RUNS):
+        start = time.perf_counter()
+        action()
+        runs.append(time.perf_counter() - start)
+    return round(statistics.median(runs[1:]), 4)
+
+
+def stored_stars(spark: SparkSession, sf_dir: str, root: str) -> dict[str, Star]:
+    dims = {"city": fx.dim_city(spark, sf_dir), "date": fx.dim_date(spark), "time": fx.dim_time(spark)}
+    for name, dim in dims.items():
+        dim.write.mode("overwrite").parquet(f"{root}/{name}")
+    city, date, hour = (spark.read.parquet(f"{root}/{name}") for name in dims)
+    return {
+        fact: Star(spark.read.parquet(f"{root}/fact_{fact}"), city, date, hour) for fact in ("air", "weather")
+    }
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -59,14 +81,18 @@ def main() -> None:
         },
     )
     spark.sparkContext.setLogLevel("ERROR")
-    seconds = {}
-    for name in sys.argv[1:] or HEADLINE:
-        runs = []
-        for _ in range(1 + RUNS):
-            start = time.perf_counter()
-            QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-            runs.append(time.perf_counter() - start)
-        seconds[name] = round(statistics.median(runs[1:]), 4)
+    root = scratch_path(spark, "bench")
+
+    def store_facts() -> None:
+        for name, derive in (("air", fx.fact_air), ("weather", fx.fact_weather)):
+            derive(spark, sf_dir).write.mode("overwrite").parquet(f"{root}/fact_{name}")
+
+    seconds = {name: timed(lambda: noop(QUERIES[name](spark, sf_dir))) for name in FROM_TABLES}
+    seconds["store_facts"] = timed(store_facts)
+    stars = stored_stars(spark, sf_dir, root)
+    for name, (fact, report) in REPORTS.items():
+        seconds[name] = timed(lambda: noop(report(stars[fact])))
+    seconds["weather_aqi_corr"] = timed(lambda: noop(correlation(stars["weather"].fact, stars["air"].fact)))
     result = {
         "metric": "warm_median_total",
         "value": round(sum(seconds.values()), 3),

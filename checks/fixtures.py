@@ -17,7 +17,7 @@ from hazemill.sources.calendar import days_of_years, generate_hours
 # The readings span 2024 and January 2025.
 FIRST_DAY, YEARS = "2024-01-01", (2024, 2025)
 # Readings per landed document at most: event ids are unique, so a block of ids bounds an array.
-BATCH = 50_000
+BATCH = 5_000
 
 READING = [
     "event_id",

@@ -602,12 +602,14 @@ def job_dims(spark, sf_dir):
 @query("job_daily")
 def job_daily(spark, sf_dir):
     zones = _zones(spark, sf_dir)
-    # One document per city and drop: the blocks of event ids become drops of their own.
+    # One document per city and drop: each month of each block of event ids is a drop of its own.
+    drop = F.expr(
+        f"date_add(DATE'{fx.FIRST_DAY}', CAST(batch * 13 + months_between(run_date, DATE'{fx.FIRST_DAY}') AS INT))"
+    )
     for domain, documents in (
         ("weather", fx.weather_documents(spark, sf_dir)),
         ("aq", fx.air_documents(spark, sf_dir)),
     ):
-        drop = F.date_add("run_date", F.col("batch").cast("int"))
         landing.write_drop(documents.withColumn("run_date", drop).drop("batch"), f"{zones.landing}/{domain}")
     warehouse = Warehouse(spark, f"{zones.processed}/../warehouse")
     warehouse.create()

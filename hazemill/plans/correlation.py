@@ -37,12 +37,26 @@ def weather_pollution_correlation(
                 f"sum({m}_squares * {other_rows}) AS {m}_squares",
             ]
     totals += [f"sum({p}_sum * {w}_sum) AS {p}_{w}" for p in POLLUTION for w in WEATHER]
+    # n² times each variance. What is left of equal values is rounding error, and counts as 0.
+    spreads = {m: f"n * {m}_squares - {m}_sum * {m}_sum" for m in (*POLLUTION, *WEATHER)}
+    deviations = [
+        f"CASE WHEN {s} > {ROUNDING} * n * {m}_squares THEN sqrt({s}) ELSE 0D END AS {m}_deviation"
+        for m, s in spreads.items()
+    ]
+    pairs = [(p, w) for p in POLLUTION for w in WEATHER]
+    joint = [f"n * {p}_{w} - {p}_sum * {w}_sum AS {p}_{w}" for p, w in pairs]
+    ratios = [f"try_divide({p}_{w}, {p}_deviation * {w}_deviation) AS {p}_{w}" for p, w in pairs]
+    # Rounding can carry a perfect correlation past 1.
+    bounded = [f"CASE WHEN abs({p}_{w}) > 1D THEN signum({p}_{w}) ELSE {p}_{w} END AS {p}_{w}" for p, w in pairs]
     labels = LEGACY_LABELS if legacy_labels else LABELS
     rows = [
-        f"named_struct('metric', '{labels[p]}', " + ", ".join(f"'{w}', {_pearson(p, w)}" for w in WEATHER) + ")"
+        f"named_struct('metric', '{labels[p]}', "
+        + ", ".join(f"'{w}', coalesce({p}_{w}, DOUBLE('NaN'))" for w in WEATHER)
+        + ")"
         for p in POLLUTION
     ]
-    return _aggregate(cells, totals).selectExpr(f"inline(array({', '.join(rows)}))")
+    sums = _aggregate(cells, totals).selectExpr(*deviations, *joint)
+    return sums.selectExpr(*ratios).selectExpr(*bounded).selectExpr(f"inline(array({', '.join(rows)}))")
 
 
 def _aggregate(df: DataFrame | GroupedData, expressions: list[str]) -> DataFrame:
@@ -55,16 +69,3 @@ def _cell_sums(fact: DataFrame, measures: tuple[str, ...], rows: str) -> DataFra
     for m in measures:
         sums += [f"sum({m}) AS {m}_sum", f"sum({m} * {m}) AS {m}_squares"]
     return _aggregate(fact.groupBy(*CELL), sums)
-
-
-def _spread(m: str) -> str:
-    # n² times the variance. What is left of equal values is rounding error, and counts as 0.
-    spread = f"(n * {m}_squares - {m}_sum * {m}_sum)"
-    return f"CASE WHEN {spread} > {ROUNDING} * n * {m}_squares THEN {spread} ELSE 0D END"
-
-
-def _pearson(p: str, w: str) -> str:
-    joint = f"n * {p}_{w} - {p}_sum * {w}_sum"
-    r = f"try_divide({joint}, sqrt({_spread(p)}) * sqrt({_spread(w)}))"
-    # Rounding can carry a perfect correlation past 1.
-    return f"coalesce(CASE WHEN abs({r}) > 1D THEN signum({r}) ELSE {r} END, DOUBLE('NaN'))"
