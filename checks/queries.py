@@ -145,17 +145,14 @@ def fetch_manifest(spark, sf_dir):
 
 def _responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Responses with only two of the variables; users stand for the cities asked."""
-    return (
-        fx.readings(spark, sf_dir)
-        .join(fx.table(spark, sf_dir, "events").select("event_id", "user_id"), "event_id")
-        .groupBy(F.col("user_id").alias("city_id"), F.expr(f"event_id DIV {fx.BATCH}").alias("batch"))
-        .agg(
-            F.struct(
-                F.collect_list(F.col("hour").cast("string")).alias("time"),
-                F.collect_list("pm25").alias("pm2_5"),
-            ).alias("hourly")
-        )
+    events = fx.table(spark, sf_dir, "events").selectExpr(
+        "user_id AS city_id",
+        f"event_id DIV {fx.BATCH} AS batch",
+        "CAST(hour(ts) AS STRING) AS time",
+        "value * 0.5e0 AS pm2_5",
     )
+    hourly = F.struct(F.collect_list("time").alias("time"), F.collect_list("pm2_5").alias("pm2_5"))
+    return events.groupBy("city_id", "batch").agg(hourly.alias("hourly"))
 
 
 @query("attach_results")
@@ -371,8 +368,7 @@ def upsert_time(spark, sf_dir):
 
 @query("surrogate_dim")
 def surrogate_dim(spark, sf_dir):
-    days = fx.readings(spark, sf_dir).select("full_date", "event_type").filter("event_type IN ('error', 'click')")
-    known = days.filter("event_type = 'error'").select("full_date").distinct()
+    known = fx.readings(spark, sf_dir).filter("event_type = 'error'").select("full_date").distinct()
     existing = known.withColumn("date_id", F.datediff("full_date", F.lit(fx.FIRST_DAY).cast("date")) + 1)
     incoming = fx.dim_date(spark).select("full_date")
     new = load.insert_if_absent(existing, incoming, ["full_date"])
@@ -599,8 +595,7 @@ def job_dims(spark, sf_dir):
     return tables[0].union(tables[1]).union(tables[2])
 
 
-@query("job_daily")
-def job_daily(spark, sf_dir):
+def _job(spark: SparkSession, sf_dir: str, load_facts: Callable[[Warehouse, Zones], object]) -> DataFrame:
     zones = _zones(spark, sf_dir)
     # One document per city and drop: each month of each block of event ids is a drop of its own.
     drop = F.expr(
@@ -611,24 +606,22 @@ def job_daily(spark, sf_dir):
         ("aq", fx.air_documents(spark, sf_dir)),
     ):
         landing.write_drop(documents.withColumn("run_date", drop).drop("batch"), f"{zones.landing}/{domain}")
-    warehouse = Warehouse(spark, f"{zones.processed}/../warehouse")
+    warehouse = Warehouse(spark, scratch_path(spark, "warehouse"))
     warehouse.create()
     for year in fx.YEARS:
         refresh_dimensions(warehouse, zones, year)
-    daily_facts(warehouse, zones)
+    load_facts(warehouse, zones)
     wide = []
     for fact, measures in (
         ("fact_weather", ("temperature", "rain", "wind_direction")),
         ("fact_air_quality", ("aqi", "o3", "pm25")),
     ):
-        star = warehouse.star(fact)
-        wide.append(
-            star.view().select(
-                F.lit(fact).alias("table_name"),
-                "city_name",
-                "full_date",
-                "hour",
-                *(F.col(m).cast("double").alias(f"m{i}") for i, m in enumerate(measures, 1)),
-            )
-        )
+        numbers = (F.col(m).cast("double").alias(f"m{i}") for i, m in enumerate(measures, 1))
+        view = warehouse.star(fact).view()
+        wide.append(view.select(F.lit(fact).alias("table_name"), "city_name", "full_date", "hour", *numbers))
     return wide[0].union(wide[1])
+
+
+@query("job_daily")
+def job_daily(spark, sf_dir):
+    return _job(spark, sf_dir, daily_facts)

@@ -111,6 +111,10 @@ def with_aqi(df: DataFrame, strict: bool = False) -> DataFrame:
 def clean_city(raw: DataFrame, strict: bool = False) -> DataFrame:
     """Distinct complete cities. A coordinate that is no number drops the row, or fails with ``strict``."""
     lat, lon = (F.col(c).cast("double") if strict else F.col(c).try_cast("double") for c in ("lat", "lon"))
-    named = raw.select("city_id", F.col("name").alias("city_name"), lat.alias("lat"), lon.alias("lon"))
-    # Only key columns are left, so it does not matter which copy stays.
-    return named.dropna("any").dropDuplicates().withColumn("country", F.lit(COUNTRY))
+    named = raw.withColumn("city_name", F.col("name")).withColumns({"lat": lat, "lon": lon})
+    keys = ["city_id", "city_name", "lat", "lon"]
+    complete = named.dropna("any", subset=keys)
+    # Only key columns are left, so copies are equal; ``source`` says which one stood first.
+    first = [F.min("source").alias("source")] if "source" in raw.columns else []
+    distinct = complete.groupBy(*keys).agg(*first) if first else complete.select(*keys).dropDuplicates()
+    return distinct.withColumn("country", F.lit(COUNTRY))

@@ -47,6 +47,7 @@ def test_inside_bands_equals_python_rounding(spark, pollutant):
     found = indices(spark, pollutant, values)
     assert found == expected
     assert found == sorted(found)
+    assert 0 <= found[0] and found[-1] <= 500
 
 
 def test_unknown_pollutant():

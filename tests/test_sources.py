@@ -80,9 +80,16 @@ def test_latest_file(spark, tmp_path):
     assert landing.latest_file(spark, str(tmp_path), "city_*.json").endswith("/city_a.json")
 
 
-def test_has_landed(spark, tmp_path):
-    assert landing.has_landed(spark, str(tmp_path))
-    assert not landing.has_landed(spark, str(tmp_path / "none"))
+def test_latest_run_date_lists_folders(spark, tmp_path):
+    write_array(tmp_path, "city_0.json", [city(1)])
+    assert landing.latest_run_date(spark, str(tmp_path)) is None
+    for day in ("2024-02-01", "2024-10-01"):
+        write_array(tmp_path / "zone" / f"run_date={day}", f"city_{day}.json", [city(1)])
+    path = str(tmp_path / "zone")
+    assert landing.latest_run_date(spark, path) == date(2024, 10, 1)
+    one = landing.read_landing(spark, path, "city", run_date=date(2024, 2, 1))
+    assert rows(one.select("city_id", "run_date")) == [(1, date(2024, 2, 1))]
+    assert all("2024-02-01" in file for file in one.inputFiles())
 
 
 def test_latest_per_key(spark):
