@@ -287,6 +287,8 @@ ORACLES: dict[str, str] = {
         {IMPUTED_O3}, pm25 FROM r""",
 }
 
+ORACLES["job_incremental"] = ORACLES["job_daily"]
+
 for _pollutant, _factor in STRETCH.items():
     _value = f"(co / 1000e0) * {_factor}e0" if _pollutant == "co" else f"{_pollutant} * {_factor}e0"
     ORACLES[f"aqi_subindex_{_pollutant}"] = f"""WITH {READINGS}, s AS (

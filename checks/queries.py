@@ -14,7 +14,7 @@ from hazemill.functions.dates import iso_week
 from hazemill.operators import clean, constraints, load
 from hazemill.plans import air, weather
 from hazemill.plans.correlation import weather_pollution_correlation
-from hazemill.plans.jobs import Zones, daily_facts, refresh_dimensions
+from hazemill.plans.jobs import Zones, daily_facts, incremental_facts, refresh_dimensions
 from hazemill.plans.star import Star
 from hazemill.schemas import HOURLY_AIR
 from hazemill.session import scratch_path
@@ -625,3 +625,14 @@ def _job(spark: SparkSession, sf_dir: str, load_facts: Callable[[Warehouse, Zone
 @query("job_daily")
 def job_daily(spark, sf_dir):
     return _job(spark, sf_dir, daily_facts)
+
+
+@query("job_incremental")
+def job_incremental(spark, sf_dir):
+    checkpoint = scratch_path(spark, "offsets")
+
+    def load_twice(warehouse: Warehouse, zones: Zones) -> None:
+        for _ in range(2):
+            incremental_facts(warehouse, zones, checkpoint, layout="lines")
+
+    return _job(spark, sf_dir, load_twice)
