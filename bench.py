@@ -94,6 +94,7 @@ def main() -> None:
         ("weather", fx.weather_documents, clean_weather),
         ("aq", fx.air_documents, clean_air),
     ):
+        # A city has several documents in a month here, and none is a copy: each is its own drop.
         landing.write_drop(documents(spark, sf_dir), f"{root}/{domain}")
         seconds[clean.__name__] = timed(
             lambda: noop(clean(landing.read_landing(spark, f"{root}/{domain}", domain), drop=("run_date", "source")))
