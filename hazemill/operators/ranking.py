@@ -42,9 +42,10 @@ def _spread_dense_rank(
     cell = [*period, "_range"]
     unit = F.coalesce(F.floor(value), F.lit(-(2**62)))
     ranged = df.withColumn("_range", unit)
-    distinct = values.withColumn("_range", unit).select(*cell, value).distinct().groupBy(*cell).agg(F.count(F.lit(1)).alias("_distinct"))
+    distinct = values.withColumn("_range", unit).select(*cell, value).distinct()
+    sizes = distinct.groupBy(*cell).agg(F.count(F.lit(1)).alias("_distinct"))
     higher = Window.partitionBy(*period).orderBy(F.desc("_range")).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = distinct.select(*cell, F.coalesce(F.sum("_distinct").over(higher), F.lit(0)).alias("_above"))
+    offsets = sizes.select(*cell, F.coalesce(F.sum("_distinct").over(higher), F.lit(0)).alias("_above"))
     inside = F.dense_rank().over(Window.partitionBy(*cell).orderBy(F.desc(value)))
     return (
         ranged.withColumn("_inside", inside)

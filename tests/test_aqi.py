@@ -1,6 +1,5 @@
 import pytest
 from pyspark.errors import PySparkException
-from pyspark.sql import functions as F
 
 from hazemill.functions.aqi import CONCENTRATION_BANDS, INDEX_BANDS, aqi, co_milligrams, sub_index
 

@@ -11,7 +11,10 @@ from hazemill.plans.star import Star
 from hazemill.sources import calendar
 from tests.conftest import final_plan, rows
 
-WEATHER = "weather_id long, city_id int, date_id int, time_id int, temperature double, humidity double, wind_speed double, rain double"
+WEATHER = (
+    "weather_id long, city_id int, date_id int, time_id int, temperature double, humidity double, "
+    "wind_speed double, rain double"
+)
 AIR = (
     "aq_id long, city_id int, date_id int, time_id int, aqi double, pm25 double, pm10 double, "
     "no2 double, so2 double, o3 double, co double, co2 double"
@@ -184,7 +187,8 @@ def test_correlation_without_variance_is_nan(spark):
 def test_a_hot_cell_makes_no_pairs(spark):
     cell = ("1 AS city_id", "1 AS date_id", "1 AS time_id")
     n = 30_000
-    w = spark.range(n).selectExpr(*cell, "id % 7 + 0D AS rain", "id % 5 + 0D AS wind_speed", "id % 3 + 0D AS humidity", "id % 11 + 0D AS temperature")
+    measures = {"rain": 7, "wind_speed": 5, "humidity": 3, "temperature": 11}
+    w = spark.range(n).selectExpr(*cell, *(f"id % {size} + 0D AS {m}" for m, size in measures.items()))
     a = spark.range(n).selectExpr(*cell, "id % 13 + 0D AS aqi", "id % 17 + 0D AS pm10", "id % 19 + 0D AS pm25")
     result = weather_pollution_correlation(w, a)
     # Inside one cell the two sides are independent.

@@ -22,7 +22,8 @@ def write_array(folder, name, documents):
 
 def test_both_layouts_are_read(spark, tmp_path):
     write_array(tmp_path / "run_date=2024-01-01", "city_2024-01-01.json", [city(1), city(2, lat=16.5)])
-    lines = spark.createDataFrame([(3, "Huế", "16.4", "107.6", date(2024, 1, 2))], "city_id long, name string, lat string, lon string, run_date date")
+    schema = "city_id long, name string, lat string, lon string, run_date date"
+    lines = spark.createDataFrame([(3, "Huế", "16.4", "107.6", date(2024, 1, 2))], schema)
     landing.write_drop(lines, str(tmp_path))
     found = landing.read_landing(spark, str(tmp_path), "city")
     assert rows(found.select("city_id", "name", "lat", "run_date")) == [
