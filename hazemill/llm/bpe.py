@@ -23,9 +23,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hazemill.llm.common import Batches, in_tasks
+from hazemill.llm.words import Memory
 
-#: Words a worker remembers before it starts afresh.
-REMEMBERED = 400_000
 RESULT = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
 _BY_FILE: dict[str, PrefixBpe] = {}
 
@@ -49,6 +48,7 @@ class PrefixBpe:
         with open(tokenizer_file, encoding="utf-8") as file:
             model = json.load(file)
         self.suffix = model["model"].get("end_of_word_suffix") or ""
+        self.final = 256 if self.suffix else 0
         library = Tokenizer.from_file(tokenizer_file)
         self.normalizer, self.pre_tokenizer = library.normalizer, library.pre_tokenizer
         self.special = {t["content"]: t["id"] for t in model["added_tokens"]}
@@ -64,21 +64,21 @@ class PrefixBpe:
             self.parts[vocabulary[left + right]] = pair
         self.automaton = ahocorasick.Automaton()
         for token, i in vocabulary.items():
-            symbols = self._symbols(token.removesuffix(self.suffix), token.endswith(self.suffix))
+            symbols = self._symbols(token.removesuffix(self.suffix), bool(self.suffix) and token.endswith(self.suffix))
             if symbols and (i in self.parts or len(symbols) == 1):
                 self.automaton.add_word(symbols, (i, len(symbols)))
         self.automaton.make_automaton()
         self.fits: dict[tuple[int, int], bool] = {}
         self.spines: tuple[dict, dict] = ({}, {})
-        self.known: dict[bytes, tuple[str, str]] = {}
+        self.memory = Memory(self._encode_stems, lambda word: self._value(self.encode_word(word)))
 
     def _symbols(self, piece: str, final: bool) -> str:
         """One character per byte; the byte that ends a word is another symbol than within one."""
         if any(c not in self.bytes for c in piece):
             return ""
         points = [self.bytes[c] for c in piece]
-        if final and self.suffix and points:
-            points[-1] += 256
+        if final and points:
+            points[-1] += self.final
         return "".join(map(chr, points))
 
     def _spine(self, token: int, side: int) -> list[tuple[int, float]]:
@@ -109,15 +109,24 @@ class PrefixBpe:
         return self.fits[left, right]
 
     def encode_symbols(self, symbols: str) -> list[int]:
-        last: list[tuple[int, int] | None] = [None] * (len(symbols) + 1)
+        last, back, fits = [-1] * (len(symbols) + 1), [0] * (len(symbols) + 1), self.fits
         for end, (token, length) in self.automaton.iter(symbols):
-            start = end + 1 - length
-            if last[end + 1] is None and (not start or (last[start] and self.compatible(last[start][0], token))):
-                last[end + 1] = token, start
+            end += 1
+            if last[end] >= 0:
+                continue
+            start = end - length
+            if start:
+                before = last[start]
+                if before < 0:
+                    continue
+                fit = fits.get((before, token))
+                if not (self.compatible(before, token) if fit is None else fit):
+                    continue
+            last[end], back[end] = token, start
         ids, at = [], len(symbols)
         while at:
-            token, at = last[at]
-            ids.append(token)
+            ids.append(last[at])
+            at = back[at]
         return ids[::-1]
 
     def _encode_plain(self, text: str) -> list[int]:
@@ -131,19 +140,24 @@ class PrefixBpe:
             return self._encode_plain(word)
         return [i for s in self.cut.split(word) for i in ([self.special[s]] if s in self.special else self._encode_plain(s))]
 
-    def encode(self, text: bytes | None) -> tuple[list[str], list[str]]:
-        """Of each word that has tokens: its ids and its tokens, space-joined."""
-        words = text.split() if text else []
-        found = list(map(self.known.get, words))
-        if None in found:
-            if len(self.known) > REMEMBERED:
-                self.known.clear()
-            for word in words:
-                if word not in self.known:
-                    ids = self.encode_word(word.decode())
-                    self.known[word] = " ".join(map(str, ids)), " ".join(self.token[i] for i in ids)
-            found = list(map(self.known.get, words))
-        return [x[0] for x in found if x[0]], [x[1] for x in found if x[0]]
+    def _value(self, ids: list[int]) -> tuple[bytes, bytes]:
+        """Ids and tokens, each followed by a space."""
+        return "".join([f"{i} " for i in ids]).encode(), "".join([self.token[i] + " " for i in ids]).encode()
+
+    def _encode_stems(self, stems: list[str]) -> list[tuple[bytes, bytes]]:
+        """Plain letters are one piece, normal once in lower case."""
+        values = []
+        for stem in stems:
+            symbols = stem.lower().encode().decode("latin-1")
+            values.append(self._value(self.encode_symbols(symbols[:-1] + chr(ord(symbols[-1]) + self.final))))
+        return values
+
+    def encode(self, texts: pa.Array) -> Iterator[tuple[memoryview, memoryview]]:
+        """Of each text its ids and its tokens, space-joined."""
+        (ids_at, ids), (tokens_at, tokens) = self.memory.texts(texts)
+        ids_at, tokens_at = ids_at.tolist(), tokens_at.tolist()
+        for a, b, c, d in zip(ids_at, ids_at[1:], tokens_at, tokens_at[1:], strict=False):
+            yield ids[a : max(a, b - 1)], tokens[c : max(c, d - 1)]
 
     def decode(self, ids: list[int]) -> str:
         """The vocabulary file has no decoder, so tokens are joined by spaces, special ones included."""
@@ -163,16 +177,15 @@ def encode_documents(documents: DataFrame, tokenizer_file: str) -> DataFrame:
         bpe = prefix_bpe(tokenizer_file)
         for batch in batches:
             ids, decoded = [], []
-            for text in batch.column(1).to_pylist():
-                parts, tokens = bpe.encode(text)
-                ids.append([int(i) for i in " ".join(parts).split()])
-                decoded.append(" ".join(tokens))
+            for of_ids, of_tokens in bpe.encode(batch.column(1)):
+                ids.append([int(i) for i in bytes(of_ids).split()])
+                decoded.append(str(of_tokens, "utf-8"))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(ids, pa.list_(pa.int32())), pa.array(decoded, pa.string())],
                 names=["doc_id", "ids", "decoded"],
             )
 
-    rows = documents.select(F.col("doc_id").cast("bigint"), F.col("text").cast("binary"))
+    rows = documents.select(F.col("doc_id").cast("bigint"), "text")
     return in_tasks(rows, encode, "doc_id bigint, ids array<int>, decoded string")
 
 
@@ -183,14 +196,12 @@ def token_digests(documents: DataFrame, tokenizer_file: str) -> DataFrame:
         bpe = prefix_bpe(tokenizer_file)
         for batch in batches:
             counts, ids_hex, decoded_hex = [], [], []
-            for text in batch.column(1).to_pylist():
-                parts, tokens = bpe.encode(text)
-                ids = " ".join(parts).encode()
-                counts.append(ids.count(b" ") + 1 if ids else 0)
+            for ids, tokens in bpe.encode(batch.column(1)):
+                counts.append(bytes(ids).count(b" ") + 1 if ids else 0)
                 ids_hex.append(hashlib.sha256(ids).hexdigest())
-                decoded_hex.append(hashlib.sha256(" ".join(tokens).encode()).hexdigest())
+                decoded_hex.append(hashlib.sha256(tokens).hexdigest())
             columns = [batch.column(0), pa.array(counts, pa.int64()), pa.array(ids_hex), pa.array(decoded_hex)]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    rows = documents.select(F.col("doc_id").cast("bigint"), F.col("text").cast("binary"))
+    rows = documents.select(F.col("doc_id").cast("bigint"), "text")
     return in_tasks(rows, digest, RESULT)

@@ -127,8 +127,8 @@ def cut_pieces(documents: DataFrame, tokenizer_file: str, end_id: int, capacity:
         encoder, task, seen = word_ids(tokenizer_file), TaskContext.get().partitionId(), {}
         for batch in batches:
             rows = []
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                ids = np.append(encoder.encode(text).astype("<u4"), np.uint32(end_id)).astype("<u4")
+            for doc, found in zip(batch.column(0).to_pylist(), encoder.encode(batch.column(1)), strict=True):
+                ids = np.append(found.astype("<u4"), np.uint32(end_id)).astype("<u4")
                 for piece, start in enumerate(range(0, len(ids), capacity)):
                     part = ids[start : start + capacity]
                     place = seen.get(len(part), 0)
@@ -138,7 +138,7 @@ def cut_pieces(documents: DataFrame, tokenizer_file: str, end_id: int, capacity:
             columns = [pa.array([r[i] for r in rows], t) for i, t in enumerate(types)]
             yield pa.RecordBatch.from_arrays(columns, names=[c.split()[0] for c in PIECE.split(", ")])
 
-    rows = documents.select(F.col("doc_id").cast("bigint"), F.col("text").cast("binary"))
+    rows = documents.select(F.col("doc_id").cast("bigint"), "text")
     return in_tasks(rows, cut, PIECE)
 
 

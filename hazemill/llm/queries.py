@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazemill.llm import bpe, packing, simhash, suffix_dedup, token_store
+from hazemill.llm import bpe, chat, packing, pq_dedup, quality, secrets, simhash, suffix_dedup, suffix_tree, token_store
 from hazemill.llm.common import read_table
 from hazemill.session import scratch_path
 
@@ -20,6 +20,26 @@ def word_bpe() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_distribution_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quality.quality(read_table(spark, sf_dir, "documents"))
+    return found.drop("class_distance", "word_distance")
+
+
+def op2_blob_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan_digests(read_table(spark, sf_dir, "documents"), scratch_path(spark, "ledger"))
+
+
+def op3_product_quantisation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pq_dedup.link_vectors(read_table(spark, sf_dir, "embeddings"))
+
+
+def op4_prefix_target_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = "</s>[INST] ok [/INST]"
+    control = spark.range(2).selectExpr("-1L AS conv_id", "id AS turn", "if(id = 0, 'user', 'assistant') AS role").withColumn("text", F.lit(said))
+    conversations = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return chat.read_back(chat.format_conversations(conversations.unionByName(control)))
+
+
 def op5_simhash_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(read_table(spark, sf_dir, "documents"))
 
@@ -35,6 +55,10 @@ def op7_large_item_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read_table(spark, sf_dir, "documents"), word_bpe(), END_ID, CAPACITY)
 
 
+def op8_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_tree.score_documents(read_table(spark, sf_dir, "documents"))
+
+
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(read_table(spark, sf_dir, "documents")).drop("kept")
 
@@ -45,6 +69,17 @@ def op10_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op5_simhash_blocks, op6_token_store, op7_large_item_packing, op9_suffix_dedup, op10_prefix_bpe)
+    for f in (
+        op1_distribution_divergence,
+        op2_blob_ledger,
+        op3_product_quantisation,
+        op4_prefix_target_chat,
+        op5_simhash_blocks,
+        op6_token_store,
+        op7_large_item_packing,
+        op8_suffix_tree,
+        op9_suffix_dedup,
+        op10_prefix_bpe,
+    )
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op4_prefix_target_chat": chat.ORACLE}

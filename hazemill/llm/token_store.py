@@ -68,8 +68,8 @@ def write_store(documents: DataFrame, path: str, tokenizer_file: str, end_id: in
         def write(out) -> None:
             offsets = [0]
             for batch in batches:
-                for text in batch.column(1).to_pylist():
-                    payload = ids.encode(text).tobytes() + end
+                for found in ids.encode(batch.column(1)):
+                    payload = found.tobytes() + end
                     out.write(payload)
                     offsets.append(offsets[-1] + len(payload))
                 n = batch.num_rows
@@ -86,7 +86,7 @@ def write_store(documents: DataFrame, path: str, tokenizer_file: str, end_id: in
         _put(path, f"shard-{shard:06d}.ids", write)
         yield from rows
 
-    rows = documents.select(F.col("doc_id").cast("bigint"), F.col("text").cast("binary"))
+    rows = documents.select(F.col("doc_id").cast("bigint"), "text")
     order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text")]
     ordered = rows.repartitionByRange(shuffle_partitions(spark), *order).sortWithinPartitions(*order)
     records = stored(in_tasks(ordered, write_shard, RECORD), "records")
