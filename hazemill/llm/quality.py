@@ -40,8 +40,8 @@ PLACES = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdef"
 class Limits:
     min_words: int = 50
     min_chars: int = 200
-    max_class_distance: float = 0.25
-    max_word_distance: float = 0.75
+    max_class_distance: float = 0.34
+    max_word_distance: float = 0.5
     base_min_words: int = 10
     base_max_repeat: int = 20
 
@@ -139,9 +139,9 @@ def js_distance(counts: Column, reference: Column) -> Column:
 
 def _texts(documents: DataFrame) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
-    rows = documents.select("doc_id", F.coalesce("lang", F.lit("")).alias("lang"), text.alias("text"))
+    rows = documents.select(F.struct("*").alias("row"), F.coalesce("lang", F.lit("")).alias("lang"), text.alias("text"))
     # Words are cut once: the row generator keeps later expressions from cutting them again.
-    return rows.select("doc_id", "lang", "text", F.explode(F.array(words(F.col("text")))).alias("words"))
+    return rows.select("row", "lang", "text", F.explode(F.array(words(F.col("text")))).alias("words"))
 
 
 def language_references(documents: DataFrame) -> DataFrame:
@@ -164,7 +164,7 @@ def language_references(documents: DataFrame) -> DataFrame:
 
 
 def quality(documents: DataFrame, limits: Limits = Limits()) -> DataFrame:
-    """Counts, distances and verdicts of every row of ``documents`` (doc_id, text, lang)."""
+    """Counts, distances and verdicts of every row of ``documents`` (doc_id, text, lang); ``row`` is the row itself."""
     references = language_references(documents)
     rows = _texts(documents).join(references, "lang", "left")
     empty = F.array().cast("array<string>")
@@ -175,9 +175,10 @@ def quality(documents: DataFrame, limits: Limits = Limits()) -> DataFrame:
         duplicate_lines(F.col("text")).alias("n_dup_lines"),
         repeated_words(F.col("words")).alias("n_repeat_words"),
     )
-    rows = rows.select("doc_id", "classes", "word_totals", F.explode(F.array(counts)).alias("c"))
+    rows = rows.select("row", "classes", "word_totals", F.explode(F.array(counts)).alias("c"))
     counts = rows.select(
-        F.col("doc_id").cast("bigint"),
+        "row",
+        F.col("row.doc_id").cast("bigint").alias("doc_id"),
         F.col("c.n_words").cast("bigint").alias("n_words"),
         _total(F.col("c.by_class")).cast("bigint").alias("word_chars"),
         F.get("c.by_class", F.lit(SYMBOLS)).cast("bigint").alias("n_symbols"),
@@ -190,6 +191,7 @@ def quality(documents: DataFrame, limits: Limits = Limits()) -> DataFrame:
     odd_classes = (F.col("word_chars") >= limits.min_chars) & (F.col("class_distance") > limits.max_class_distance)
     odd_words = (F.col("n_words") >= limits.min_words) & (F.col("word_distance") > limits.max_word_distance)
     return counts.select(
+        "row",
         "doc_id",
         "n_words",
         "word_chars",

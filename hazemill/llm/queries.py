@@ -22,7 +22,7 @@ def word_bpe() -> str:
 
 def op1_distribution_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = quality.quality(read_table(spark, sf_dir, "documents"))
-    return found.drop("class_distance", "word_distance")
+    return found.drop("row", "class_distance", "word_distance")
 
 
 def op2_blob_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -145,3 +145,24 @@ def scan_digests(documents: DataFrame, ledger: str) -> DataFrame:
     text = F.array_join(F.transform("found", lambda x: F.concat_ws(":", x["kind"], x["start"].cast("string"), x["end"].cast("string"))), ",")
     counts = [_count(rule.kind).cast("bigint").alias(f"n_{rule.kind}") for rule in RULES]
     return found.select(F.col("doc_id").cast("bigint"), *counts, F.sha2(text.cast("binary"), 256).alias("base_sha256"), text.alias("spans"))
+
+
+def redacted(documents: DataFrame, ledger: str) -> DataFrame:
+    """``documents`` with all their columns and each secret in ``text`` replaced by its kind in brackets."""
+    columns = documents.columns
+    scan_unseen(documents, ledger)
+    rows = documents.select(F.struct("*").alias("row"), "text")
+    found = findings(rows, ledger, carry=("row",))
+    text = F.col("row.text")
+    state = F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("out"))
+
+    def step(s: Column, x: Column) -> Column:
+        before = F.substring(text, (s["at"] + 1).cast("int"), (x["start"] - s["at"]).cast("int"))
+        mark = F.concat(F.lit("["), x["kind"], F.lit("]"))
+        # A span that begins within the last one only extends it.
+        out = F.when(x["start"] >= s["at"], F.concat(s["out"], before, mark)).otherwise(s["out"])
+        return F.struct(F.greatest(s["at"], x["end"]).alias("at"), out.alias("out"))
+
+    done = F.aggregate("found", state, step, lambda s: F.concat(s["out"], F.substring(text, (s["at"] + 1).cast("int"), F.length(text))))
+    clean = F.when(F.size("found") == 0, text).otherwise(done)
+    return found.select(*((clean if c == "text" else F.col("row")[c]).alias(c) for c in columns))

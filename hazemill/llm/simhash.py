@@ -55,16 +55,21 @@ def fingerprint(text: bytes | None, words_per_shingle: int) -> int:
     return int(np.packbits(2 * ones > len(hashes), bitorder="little").view(np.int64)[0])
 
 
+def row_key() -> Column:
+    """The same for rows of equal doc_id and text."""
+    return F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.coalesce("text", F.lit(""))).alias("key")
+
+
 def fingerprints(documents: DataFrame, words_per_shingle: int = 4) -> DataFrame:
-    """doc_id and fp (bigint) of every row, in the order and partitions of ``documents``."""
+    """doc_id, key and fp (bigint) of every row, in the order and partitions of ``documents``."""
 
     def read(batches: Batches) -> Batches:
         for batch in batches:
-            found = [fingerprint(t, words_per_shingle) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.int64())], names=["doc_id", "fp"])
+            found = [fingerprint(t, words_per_shingle) for t in batch.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(found, pa.int64())], names=["doc_id", "key", "fp"])
 
-    rows = documents.select(F.col("doc_id").cast("bigint"), F.col("text").cast("binary"))
-    return in_tasks(rows, read, "doc_id bigint, fp bigint")
+    rows = documents.select(F.col("doc_id").cast("bigint"), row_key(), F.col("text").cast("binary"))
+    return in_tasks(rows, read, "doc_id bigint, key bigint, fp bigint")
 
 
 def _block(fp: Column, block: tuple[int, int]) -> Column:
@@ -148,19 +153,32 @@ def _linked(fp: np.ndarray, run: np.ndarray, max_distance: int) -> pa.RecordBatc
     return pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)) for x in links], names=["a", "b"])
 
 
-def simhash_components(documents: DataFrame, words_per_shingle: int = 4, max_distance: int = MAX_DISTANCE) -> DataFrame:
-    """doc_id, fingerprint (16 hex digits) and component_id, the smallest doc_id reachable.
-
-    The pigeonhole needs ``max_distance`` of at most four.
-    """
+def _rooted(fps: DataFrame, max_distance: int) -> DataFrame:
+    """(fp, least, root) of the different fingerprints; the pigeonhole needs at most four bits."""
     if max_distance > len(BLOCKS) - 2:
         raise ValueError(f"{len(BLOCKS)} blocks find pairs up to {len(BLOCKS) - 2} bits apart")
-    fps = stored(fingerprints(documents, words_per_shingle), "fingerprints")
     nodes = fps.groupBy("fp").agg(F.min("doc_id").alias("least"))
     roots = components(near_links(nodes.select("fp"), max_distance))
     rooted = nodes.join(roots, F.col("fp") == F.col("node"), "left")
-    rooted = stored(rooted.select("fp", "least", F.coalesce("root", "fp").alias("root")), "roots")
+    return stored(rooted.select("fp", "least", F.coalesce("root", "fp").alias("root")), "roots")
+
+
+def simhash_components(documents: DataFrame, words_per_shingle: int = 4, max_distance: int = MAX_DISTANCE) -> DataFrame:
+    """doc_id, fingerprint (16 hex digits) and component_id, the smallest doc_id reachable."""
+    fps = stored(fingerprints(documents, words_per_shingle), "fingerprints")
+    rooted = _rooted(fps, max_distance)
     smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     found = rooted.join(smallest, "root").select("fp", "component_id")
     digits = F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint")
     return fps.join(found, "fp").select("doc_id", digits, "component_id")
+
+
+def keep_one(documents: DataFrame, words_per_shingle: int = 4, max_distance: int = MAX_DISTANCE) -> DataFrame:
+    """The row of the smallest doc_id of each component (null last), with all its columns."""
+    fps = stored(fingerprints(documents, words_per_shingle), "fingerprints")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key"))
+    of_fp = fps.groupBy("fp").agg(first.alias("first")).join(_rooted(fps, max_distance).select("fp", "root"), "fp")
+    chosen = of_fp.groupBy("root").agg(F.min("first").alias("first")).select("first.key").distinct()
+    rows = documents.select(F.struct("*").alias("row"), row_key()).join(chosen, "key", "left_semi")
+    # Rows repeated as a whole have one key.
+    return rows.groupBy("key").agg(F.any_value("row").alias("row")).select("row.*")

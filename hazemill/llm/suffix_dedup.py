@@ -34,7 +34,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from hazemill.llm.common import Batches, in_tasks, shuffle_partitions, stored
 
@@ -49,7 +49,7 @@ FOUND = "k0 bigint, k1 bigint, at int, n int, rel int, state int"
 #: States of a suffix: undecided, repeated, and repeated but also a partner for undecided ones.
 UNDECIDED, REPEATED, PARTNER = 1, 2, 3
 RESULT = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"]
-RESULT_TYPES = [LongType(), LongType(), LongType(), LongType(), StringType(), BinaryType()]
+RESULT_TYPES = [LongType(), LongType(), LongType(), LongType(), StringType(), StringType()]
 
 _random = np.random.default_rng(20240607)
 _BYTES = _random.integers(0, 1 << 63, 256, np.uint64) * np.uint64(2) + np.uint64(1)
@@ -318,9 +318,10 @@ def _merged(at: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def remove_repeats(documents: DataFrame, length: int = LENGTH, carry: tuple[str, ...] = ()) -> DataFrame:
-    """Per row doc_id, n_bytes, n_removed, n_spans, kept_sha256, ``kept`` (binary) and the ``carry`` columns.
+    """Per row doc_id, n_bytes, n_removed, n_spans, kept_sha256, ``kept`` and the ``carry`` columns.
 
-    ``length`` may be 176 … 256. A text's key is its doc_id and its hash; rows with equal keys
+    ``kept`` is the text that is left, without the bytes of characters that a cut has parted; the
+    digest is of all bytes left. ``length`` may be 176 … 256. A text's key is its doc_id and its hash; rows with equal keys
     have equal text and equal results.
     """
     if not 160 + BLOCK <= length <= 256:
@@ -382,8 +383,8 @@ def remove_repeats(documents: DataFrame, length: int = LENGTH, carry: tuple[str,
                 low, high = _merged(at[part], at[part] + n[part] + length - 1) if part.stop > part.start else ((), ())
                 edges = [0, *(int(x) for pair in zip(low, high, strict=True) for x in pair), len(text)]
                 kept = b"".join(text[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True))
-                rows.append((len(text), len(text) - len(kept), len(low), hashlib.sha256(kept).hexdigest(), kept))
-            types = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary()]
+                rows.append((len(text), len(text) - len(kept), len(low), hashlib.sha256(kept).hexdigest(), kept.decode("utf-8", "ignore")))
+            types = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string()]
             columns = [pa.array([r[j] for r in rows], t) for j, t in enumerate(types)]
             yield pa.RecordBatch.from_arrays([batch.column(at_["doc_id"]), *columns, batch.column(at_["carried"])], names=[*RESULT, "carried"])
 
