@@ -109,7 +109,8 @@ def word_counts(words_: Column, common: Column) -> Column:
 
     def places(known: Column) -> Column:
         slots, wide = known["slots"], known["width"]
-        at = F.transform(words_, lambda w: F.instr(slots, F.concat(F.lit(" "), w, F.lit(" "))))
+        short = F.filter(words_, lambda w: F.length(w) <= wide - 2)
+        at = F.transform(short, lambda w: F.instr(slots, F.concat(F.lit(" "), w, F.lit(" "))))
         return F.array_join(F.transform(F.filter(at, lambda p: p > 0), lambda p: F.get(letters, F.floor((p - 1) / wide).cast("int"))), "")
 
     def count(found: Column) -> Column:
@@ -147,12 +148,12 @@ def _texts(documents: DataFrame) -> DataFrame:
 def language_references(documents: DataFrame) -> DataFrame:
     """lang, classes, common (words, most frequent first) and word_totals, over all documents."""
     rows = _texts(documents)
-    counts = F.explode(F.array(class_counts(F.array_join("words", "")))).alias("c")
-    n = len(CLASSES) + 2
-    sums = [F.sum(F.get("c", F.lit(i))) for i in range(n)]
-    classes = rows.select("lang", counts).groupBy("lang").agg(F.array(*sums).alias("classes"))
     each = rows.select("lang", F.explode("words").alias("word")).groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n"))
     each = stored(each, "word_counts")
+    # Classes are counted in each different word, for all its occurrences.
+    by_class = each.select("lang", "n", F.explode(F.array(class_counts(F.col("word")))).alias("c"))
+    sums = [F.sum(F.get("c", F.lit(i)) * F.col("n")) for i in range(len(CLASSES) + 2)]
+    classes = by_class.groupBy("lang").agg(F.array(*sums).alias("classes"))
     ranked = each.withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "word")))
     top = ranked.filter(F.col("place") <= COMMON_WORDS).groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("place", "word", "n"))).alias("top"))
     totals = each.groupBy("lang").agg(F.sum("n").alias("total"))
