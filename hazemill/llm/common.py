@@ -17,6 +17,8 @@ from pyspark.sql.types import StructType
 import hazemill
 from hazemill.session import scratch_path
 
+#: Rows of a batch: texts of a few kilobytes make a few megabytes.
+ROWS_SETTING, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 2000
 #: Applications whose executors have this package.
 _SHIPPED: set[str] = set()
 
@@ -67,9 +69,17 @@ Batches = Iterator[pa.RecordBatch]
 
 
 def in_tasks(df: DataFrame, function: Callable[[Batches], Batches], schema: str | StructType) -> DataFrame:
-    """``function`` over the Arrow batches of each partition."""
-    ship_package(df.sparkSession)
-    return df.mapInArrow(function, schema)
+    """``function`` over the Arrow batches of each partition, of ``BATCH_ROWS`` rows at most."""
+    spark = df.sparkSession
+    ship_package(spark)
+    if int(spark.conf.get(ROWS_SETTING)) > BATCH_ROWS:
+        spark.conf.set(ROWS_SETTING, BATCH_ROWS)
+
+    def run(batches: Batches) -> Batches:
+        yield from function(batches)
+        pa.default_memory_pool().release_unused()  # the worker lives on and shares the executor's memory
+
+    return df.mapInArrow(run, schema)
 
 
 def _forest(batches: Batches) -> Batches:
