@@ -231,6 +231,7 @@ ORACLES: dict[str, str] = {
       FROM dim_date WHERE full_date NOT IN (SELECT full_date FROM known)""",
     "surrogate_fact": """SELECT count(*) AS n_rows, count(*) AS n_ids, CAST(1 AS BIGINT) AS first_id, count(*) AS last_id
       FROM events""",
+    "load_overlapping": """SELECT count(*) AS n_rows, count(*) AS n_ids, CAST(0 AS BIGINT) AS n_above_log FROM events""",
     "load_fact_aq": f"""WITH {READINGS}, {FIRST_YEAR}, {TIME}, {AIR}
       SELECT f.* FROM fact_air f JOIN dim_date USING (full_date)
       JOIN dim_time t ON t.time_id = f.time_id""",

@@ -386,6 +386,22 @@ def surrogate_fact(spark, sf_dir):
     )
 
 
+@query("load_overlapping")
+def load_overlapping(spark, sf_dir):
+    """Three loads of one processed table, each of some dates and cities; ids stay unique."""
+    warehouse = _warehouse(spark, sf_dir)
+    processed = _processed_scan(spark, sf_dir)
+    for part in ("city_id % 2 = 0", "city_id % 2 = 1", "city_id % 3 = 0"):
+        warehouse.load_fact("fact_air_quality", processed.filter(part))
+    log = spark.read.parquet(warehouse.path("id_log")).filter("table_name = 'fact_air_quality'")
+    last = log.agg(F.max("last_id")).scalar()
+    return warehouse.read("fact_air_quality").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_distinct("aq_id").alias("n_ids"),
+        F.count_if(F.col("aq_id") > last).alias("n_above_log"),
+    )
+
+
 def _first_year(spark: SparkSession) -> DataFrame:
     return fx.dim_date(spark).filter(F.col("year") == fx.YEARS[0])
 

@@ -9,9 +9,7 @@ from pyspark.sql import functions as F
 
 from hazemill.operators.clean import conform, dedup_first
 from hazemill.schemas import FACT_IDS, TABLES
-
-# Offsets of this many files are broadcast; one is a path and a number, a few hundred bytes.
-MAX_BROADCAST_FILES = 100_000
+from hazemill.session import scratch_path
 
 
 def insert_if_absent(
@@ -36,18 +34,29 @@ def with_dim_ids(new: DataFrame, existing: DataFrame, id_column: str, order: str
     return new.withColumn(id_column, (last + position).cast("int"))
 
 
-def with_fact_ids(table: DataFrame, id_column: str, first_id: int) -> DataFrame:
-    """Number the rows of a Parquet scan ``first_id``, ``first_id`` + 1, … without a shuffle.
+def file_spans(table: DataFrame) -> DataFrame:
+    """The ids that numbering a Parquet scan consumes in each of its files: up to the last row read.
+
+    Stored in the shared folder, one row per file, so that Spark knows its size when it plans.
+    """
+    file = F.col("_metadata.file_path")
+    spans = table.groupBy(file.alias("_file")).agg((F.max("_metadata.row_index") + 1).alias("_rows"))
+    path = scratch_path(table.sparkSession, "spans")
+    spans.write.parquet(path)
+    return table.sparkSession.read.schema(spans.schema).parquet(path)
+
+
+def with_fact_ids(table: DataFrame, id_column: str, first_id: int, spans: DataFrame | None = None) -> DataFrame:
+    """Number the rows of a Parquet scan from ``first_id`` on.
 
-    A row's number is its index in its file plus the rows of the files before, so a task
-    that runs again gives the same ids. Filters on ``table`` only leave gaps.
+    A row's number is its index in its file plus the spans of the files before, so a task that
+    runs again gives the same ids. Filters on ``table`` leave gaps; all ids lie within the sum
+    of ``spans``, which is what a caller must reserve.
     """
     file = F.col("_metadata.file_path")
-    counts = table.groupBy(file.alias("_file")).agg((F.max("_metadata.row_index") + 1).alias("_rows"))
     before = F.sum("_rows").over(Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1))
-    offsets = counts.select("_file", F.coalesce(before, F.lit(0)).alias("_before"))
-    if len(table.inputFiles()) <= MAX_BROADCAST_FILES:
-        offsets = F.broadcast(offsets)
+    spans = file_spans(table) if spans is None else spans
+    offsets = spans.select("_file", F.coalesce(before, F.lit(0)).alias("_before"))
     located = table.select("*", file.alias("_file"), F.col("_metadata.row_index").alias("_index"))
     numbered = located.join(offsets, "_file").withColumn(
         id_column, F.lit(first_id).cast("long") + F.col("_before") + F.col("_index")

@@ -7,49 +7,12 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hazemill.session import shared_dir
 
-# Rows of one period that a single task ranks without trouble.
-MAX_ROWS_PER_TASK = 1_000_000
-
-
-def dense_ranks(
-    df: DataFrame, period: Sequence[str], ranks: Mapping[str, Column], rows_per_period: int
-) -> DataFrame:
+def dense_ranks(df: DataFrame, period: Sequence[str], ranks: Mapping[str, Column]) -> DataFrame:
     """Add one descending dense rank per entry of ``ranks`` (name to value) within each period.
 
-    ``rows_per_period`` is an upper bound. Small periods are ranked by one window per
-    value over a single shuffle; larger ones are spread over many tasks.
+    One shuffle serves all ranks. ``df`` has one row per city and period, so a window holds the
+    cities, however many facts they have.
     """
-    if rows_per_period <= MAX_ROWS_PER_TASK:
-        window = Window.partitionBy(*period)
-        return df.withColumns(
-            {name: F.dense_rank().over(window.orderBy(value.desc())) for name, value in ranks.items()}
-        )
-    shared_dir(df.sparkSession)
-    keyed = df.withColumns({f"_{name}": value for name, value in ranks.items()}).checkpoint()
-    ranked = keyed
-    for name in ranks:
-        ranked = _spread_dense_rank(ranked, keyed, period, f"_{name}", name)
-    return ranked.drop(*(f"_{name}" for name in ranks))
-
-
-def _spread_dense_rank(
-    df: DataFrame, values: DataFrame, period: Sequence[str], value: str, name: str
-) -> DataFrame:
-    # Values are cut into unit-wide ranges. The rank is the rank inside the range plus the
-    # distinct values of all higher ranges, and both steps run per range, not per period.
-    cell = [*period, "_range"]
-    unit = F.coalesce(F.floor(value), F.lit(-(2**62)))
-    ranged = df.withColumn("_range", unit)
-    distinct = values.withColumn("_range", unit).select(*cell, value).distinct()
-    sizes = distinct.groupBy(*cell).agg(F.count(F.lit(1)).alias("_distinct"))
-    higher = Window.partitionBy(*period).orderBy(F.desc("_range")).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(*cell, F.coalesce(F.sum("_distinct").over(higher), F.lit(0)).alias("_above"))
-    inside = F.dense_rank().over(Window.partitionBy(*cell).orderBy(F.desc(value)))
-    return (
-        ranged.withColumn("_inside", inside)
-        .join(offsets, cell)
-        .withColumn(name, (F.col("_inside") + F.col("_above")).cast("int"))
-        .drop("_range", "_inside", "_above")
-    )
+    window = Window.partitionBy(*period)
+    return df.withColumns({name: F.dense_rank().over(window.orderBy(value.desc())) for name, value in ranks.items()})

@@ -19,7 +19,7 @@ def extreme_avg_aqi_by_time(star: Star, freq: str) -> DataFrame:
     """
     period = choose(PERIODS, freq)
     grouped = star.dated(star.fact).groupBy("city_id", *period).agg(F.avg("aqi").alias("avg_aqi"))
-    ranked = dense_ranks(grouped, period, {"rank": F.col("avg_aqi")}, star.city.count())
+    ranked = dense_ranks(grouped, period, {"rank": F.col("avg_aqi")})
     return (
         star.named(ranked)
         .select("city_id", "city_name", *period, "avg_aqi", "rank")
@@ -49,7 +49,7 @@ def compare_pollution_metrics_by_city(star: Star, freq: str, digits: int = 9) ->
         "rank_pm25": F.round("avg_pm25", digits),
         "rank_pm10": F.round("avg_pm10", digits),
     }
-    ranked = dense_ranks(grouped, period, ranks, star.city.count())
+    ranked = dense_ranks(grouped, period, ranks)
     return (
         star.named(ranked)
         .select("city_id", "city_name", *period, *averages, *ranks)

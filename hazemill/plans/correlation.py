@@ -8,8 +8,6 @@ from pyspark.sql import functions as F
 POLLUTION = ("aqi", "pm10", "pm25")
 WEATHER = ("rain", "wind_speed", "humidity", "temperature")
 CELL = ("city_id", "date_id", "time_id")
-# Share of the squares that rounding may leave as variance.
-ROUNDING = "1e-13D"
 LABELS = {"aqi": "AQI", "pm10": "PM10", "pm25": "PM2.5"}
 # The labels older reports used: the two PM rows are swapped.
 LEGACY_LABELS = {"aqi": "AQI", "pm10": "PM2.5", "pm25": "PM10"}
@@ -24,7 +22,9 @@ def weather_pollution_correlation(
     hour. Pairs are never formed: inside a cell every row of one side meets every row of
     the other, so the sums over the pairs follow from each side's sums per cell. Both
     sides are reduced to one row per cell before they are joined, and a cell with very
-    many rows costs no more than any other. Without variance the result is NaN.
+    many rows costs no more than any other. Values are taken from their side's average, so
+    that a small spread around a large value is not lost. A measure whose pairs all have the
+    same value has no variance, and its correlations are NaN.
     """
     air = _cell_sums(fact_air, POLLUTION, "air_rows")
     weather = _cell_sums(fact_weather, WEATHER, "weather_rows")
@@ -35,12 +35,13 @@ def weather_pollution_correlation(
             totals += [
                 f"sum({m}_sum * {other_rows}) AS {m}_sum",
                 f"sum({m}_squares * {other_rows}) AS {m}_squares",
+                f"min({m}_least) < max({m}_most) AS {m}_varies",
             ]
     totals += [f"sum({p}_sum * {w}_sum) AS {p}_{w}" for p in POLLUTION for w in WEATHER]
-    # n² times each variance. What is left of equal values is rounding error, and counts as 0.
+    # n² times each variance.
     spreads = {m: f"n * {m}_squares - {m}_sum * {m}_sum" for m in (*POLLUTION, *WEATHER)}
     deviations = [
-        f"CASE WHEN {s} > {ROUNDING} * n * {m}_squares THEN sqrt({s}) ELSE 0D END AS {m}_deviation"
+        f"CASE WHEN {m}_varies THEN sqrt(greatest({s}, 0D)) ELSE 0D END AS {m}_deviation"
         for m, s in spreads.items()
     ]
     pairs = [(p, w) for p in POLLUTION for w in WEATHER]
@@ -67,5 +68,12 @@ def _cell_sums(fact: DataFrame, measures: tuple[str, ...], rows: str) -> DataFra
     # Pair counts pass the range of a LONG long before they lose precision as doubles.
     sums = [f"CAST(count(1) AS DOUBLE) AS {rows}"]
     for m in measures:
-        sums += [f"sum({m}) AS {m}_sum", f"sum({m} * {m}) AS {m}_squares"]
-    return _aggregate(fact.groupBy(*CELL), sums)
+        sums += [
+            f"sum({m}_off) AS {m}_sum",
+            f"sum({m}_off * {m}_off) AS {m}_squares",
+            f"min({m}) AS {m}_least",
+            f"max({m}) AS {m}_most",
+        ]
+    averages = fact.agg(*(F.avg(m).alias(m) for m in measures))
+    off = {f"{m}_off": F.col(m) - averages.select(m).scalar() for m in measures}
+    return _aggregate(fact.withColumns(off).groupBy(*CELL), sums)

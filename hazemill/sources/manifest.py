@@ -47,16 +47,24 @@ def hourly_variables(responses: DataFrame, hourly: StructType, source: str = "ho
     return responses.select(*rest, *spread)
 
 
-def attach_results(manifest: DataFrame, responses: DataFrame, keys: tuple[str, ...] = ("city_id",)) -> DataFrame:
+def request_keys(manifest: DataFrame, responses: DataFrame) -> tuple[str, ...]:
+    """City and day where both sides have days, else the city."""
+    dated = "start_date" in manifest.columns and "start_date" in responses.columns
+    return ("city_id", "start_date") if dated else ("city_id",)
+
+
+def attach_results(manifest: DataFrame, responses: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
     """Responses tagged with the id and name of the city asked for. A request without a
     response drops out; a response with empty arrays stays."""
+    keys = keys or request_keys(manifest, responses)
     payload = [c for c in responses.columns if c not in keys and c != "city_name"]
     tagged = manifest.select(*keys, "city_name").join(responses.select(*keys, *payload), list(keys))
     return tagged.select(*keys, "city_name", *payload)
 
 
-def failed_fetches(manifest: DataFrame, responses: DataFrame, keys: tuple[str, ...] = ("city_id",)) -> DataFrame:
+def failed_fetches(manifest: DataFrame, responses: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
     """Requests nothing came back for."""
+    keys = keys or request_keys(manifest, responses)
     return manifest.join(responses.select(*keys), list(keys), "left_anti")
 
 

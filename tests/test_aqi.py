@@ -86,3 +86,20 @@ def test_generated_method_is_small_enough_for_the_jit(spark, tmp_path):
     sizes = [stages.apply(i)._3().maxMethodCodeSize() for i in range(stages.size())]
     assert 0 < max(sizes) < 8000
     assert "Python" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+# Both ends of every band, (concentration, index), written out by hand.
+BAND_ENDS = {
+    "pm25": ((0, 0), (35, 50), (36, 51), (75, 100), (76, 101), (115, 150), (116, 151), (150, 200), (151, 201), (250, 300), (251, 301), (350, 400), (351, 401), (500, 500)),
+    "pm10": ((0, 0), (50, 50), (51, 51), (100, 100), (101, 101), (250, 150), (251, 151), (350, 200), (351, 201), (430, 300), (431, 301), (500, 400), (501, 401), (600, 500)),
+    "co": ((0, 0), (5, 50), (5.1, 51), (10, 100), (10.1, 101), (35, 150), (35.1, 151), (60, 200), (60.1, 201), (90, 300), (90.1, 301), (120, 400), (120.1, 401), (150, 500)),
+    "so2": ((0, 0), (50, 50), (51, 51), (100, 100), (101, 101), (350, 150), (351, 151), (500, 200), (501, 201), (750, 300), (751, 301), (1000, 400), (1001, 401), (1200, 500)),
+    "no2": ((0, 0), (40, 50), (41, 51), (80, 100), (81, 101), (180, 150), (181, 151), (280, 200), (281, 201), (400, 300), (401, 301), (500, 400), (501, 401), (600, 500)),
+    "o3": ((0, 0), (100, 50), (101, 51), (160, 100), (161, 101), (215, 150), (216, 151), (265, 200), (266, 201), (800, 300), (801, 301), (1000, 400), (1001, 401), (1200, 500)),
+}
+
+
+def test_every_band_by_hand(spark):
+    for pollutant, ends in BAND_ENDS.items():
+        df = spark.createDataFrame([(float(c), i) for c, i in ends], "c double, expected int")
+        assert df.select(sub_index(pollutant, "c").alias("i"), "expected").filter("not i <=> expected").collect() == []

@@ -1,6 +1,7 @@
 from datetime import date
 
 import pytest
+from pyspark.sql import functions as F
 
 from hazemill.operators import constraints, load
 from hazemill.operators.constraints import ConstraintError
@@ -71,12 +72,7 @@ def test_fact_ids_are_dense_and_repeatable(spark, tmp_path):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
     some = load.with_fact_ids(spark.read.parquet(path).filter("id % 3 = 0"), "aq_id", 11).collect()
     assert len({r["aq_id"] for r in some}) == len(some) == 334
-    monkey = load.MAX_BROADCAST_FILES
-    load.MAX_BROADCAST_FILES = 0
-    try:
-        assert rows(load.with_fact_ids(spark.read.parquet(path), "aq_id", 11)) == rows(numbered)
-    finally:
-        load.MAX_BROADCAST_FILES = monkey
+    assert max(r["aq_id"] for r in some) <= 10 + load.file_spans(spark.read.parquet(path).filter("id % 3 = 0")).agg(F.sum("_rows")).first()[0]
 
 
 def test_create_gives_every_table(warehouse):
@@ -114,6 +110,30 @@ def test_load_and_rerun(spark, warehouse, tmp_path):
     assert facts.count() == facts.select("aq_id").distinct().count() == 48
 
 
+def test_filtered_loads_never_share_ids(spark, warehouse, tmp_path):
+    days = [DAY, NEXT, date(2024, 3, 5)]
+    path = str(tmp_path / "all")
+    readings = [reading(day=d, hour=h) for d in days for h in range(24)]
+    spark.createDataFrame(readings, AIR).coalesce(1).write.parquet(path)
+    table = spark.read.schema(AIR).parquet(path)
+    warehouse.load_fact("fact_air_quality", table)
+    warehouse.load_fact("fact_air_quality", table.filter(F.col("date") == days[2]))
+    warehouse.load_fact("fact_air_quality", table.filter(F.col("date") == days[1]), mode="append")
+    facts = warehouse.read("fact_air_quality")
+    assert facts.count() == facts.select("aq_id").distinct().count() == 96
+    log = spark.read.parquet(warehouse.path("id_log")).agg(F.max("last_id")).first()[0]
+    assert facts.agg(F.max("aq_id")).first()[0] <= log
+
+
+def test_replace_keeps_other_cities_of_a_date(spark, warehouse, tmp_path):
+    for _ in range(2):
+        warehouse.load_fact("fact_air_quality", scan(spark, tmp_path, f"a{_}", *(reading(city_id=1, hour=h) for h in range(24))))
+        warehouse.load_fact("fact_air_quality", scan(spark, tmp_path, f"b{_}", *(reading(city_id=2, hour=h) for h in range(24))))
+    facts = warehouse.read("fact_air_quality")
+    assert rows(facts.groupBy("city_id").count()) == [(1, 24), (2, 24)]
+    assert facts.select("aq_id").distinct().count() == 48
+
+
 def test_replace_leaves_other_dates_alone(spark, warehouse, tmp_path):
     warehouse.load_fact("fact_air_quality", scan(spark, tmp_path, "a", reading(day=DAY), reading(day=NEXT)))
     warehouse.load_fact("fact_air_quality", scan(spark, tmp_path, "b", reading(day=NEXT, aqi=99)))

@@ -1,6 +1,8 @@
 import pytest
 
 import __spark_entry__ as contract
+from checks.oracles import ORACLES
+from checks.queries import QUERIES
 from checks.compare import connect, difference
 
 SMALL = "/root/testdata/sf0.001"
@@ -12,7 +14,8 @@ def connection():
 
 
 def test_every_query_has_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(contract.queries()) and set(ORACLES) <= set(contract.oracle_sql())
 
 
 def test_entry(spark):
@@ -21,6 +24,6 @@ def test_entry(spark):
     assert found.count() > 0
 
 
-@pytest.mark.parametrize("name", contract.queries())
+@pytest.mark.parametrize("name", QUERIES)
 def test_query_equals_sql(spark, connection, name):
     assert difference(spark, connection, SMALL, name) is None

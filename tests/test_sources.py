@@ -164,6 +164,13 @@ def test_attach_results(spark):
     assert rows(manifest.failed_fetches(asked, spread)) == [(3, "c")]
 
 
+def test_results_of_several_days(spark):
+    asked = spark.createDataFrame([(1, "a", "d1"), (1, "a", "d2"), (2, "b", "d1")], "city_id int, city_name string, start_date string")
+    answers = spark.createDataFrame([(1, "d1", 5), (2, "d1", 6)], "city_id int, start_date string, n int")
+    assert rows(manifest.attach_results(asked, answers).select("city_id", "start_date", "n")) == [(1, "d1", 5), (2, "d1", 6)]
+    assert rows(manifest.failed_fetches(asked, answers).select("city_id", "start_date")) == [(1, "d2")]
+
+
 def test_first_geocode(spark):
     provinces = spark.createDataFrame([(1, "Tỉnh A"), (2, "Tỉnh B"), (3, "Tỉnh C"), (4, "Tỉnh D")], "code int, name string")
     geocodes = spark.createDataFrame(
