@@ -92,7 +92,7 @@ def _entries(quantiser: Quantiser):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            raw = _arrays(batch.column(2)).astype(np.float64)
+            raw = _arrays(batch.column(2)).astype(np.float64)  # of one length, see below
             rows = quantiser.padded(raw)
             distance = (quantiser.centres**2).sum(axis=1) - 2 * rows @ quantiser.centres.T
             some = min(PROBES, distance.shape[1])
@@ -123,7 +123,7 @@ def _entries(quantiser: Quantiser):
     return encode
 
 
-CODED = "node bigint, label bigint, home int, probes array<int>, vector binary, copies bigint, code binary, bound double"
+CODED = "node bigint, label string, home int, probes array<int>, vector binary, copies bigint, code binary, bound double"
 
 
 def _compare(quantiser: Quantiser):
@@ -153,8 +153,6 @@ def _compare(quantiser: Quantiser):
 
 def _links(quantiser: Quantiser, list_: int, held: pa.RecordBatch, asked: pa.RecordBatch) -> Batches:
     queries, rows = _arrays(asked.column(8)).astype(np.float64), _arrays(held.column(8)).astype(np.float64)
-    if queries.shape[1] != rows.shape[1]:
-        return
     codes, bound = _arrays(held.column(9), np.uint8), held.column(10).to_numpy()
     unit = quantiser.padded(queries)
     near = np.repeat((unit @ quantiser.centres[list_])[:, None], len(codes), axis=1)
@@ -227,7 +225,9 @@ def link_vectors(embeddings: DataFrame) -> DataFrame:
                 columns = [batch.column(0), batch.column(1), pa.array(packed, pa.binary()), batch.column(3)]
                 yield pa.RecordBatch.from_arrays([c.take(at) for c in columns], names=["node", "label", "vector", "copies"])
 
-    nodes = classes.select("node", "label", "vector", "copies")
+    # Vectors of one label and length are compared.
+    kind = F.concat_ws(":", F.col("label").cast("string"), F.size("vector").cast("string")).alias("label")
+    nodes = classes.select("node", kind, "vector", "copies")
     both = lambda batches: _entries(quantiser)(pack(batches))
     coded = stored(in_tasks(nodes, both, CODED), "codes")
     # One row per label and list; Spark broadcasts it only below its threshold.

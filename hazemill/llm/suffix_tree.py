@@ -253,8 +253,8 @@ def score_documents(documents: DataFrame, params: Params = Params()) -> DataFram
             known, rare = count > 0, count < 0
             size = len(symbols)
             base = np.bincount(at[known], np.log10((count[known] + 1) / below), size) + np.log10((ends + 1) / below)
-            mixed = np.bincount(at[known], mixture(count[known], spelled[known]), size)
-            mixed += mixture(np.int64(ends), by_token[is_end])
+            mixed = mixture(np.int64(ends), by_token[is_end])
+            mixed = mixed + np.bincount(at[known], mixture(count[known], spelled[known]), size)
             of_known = np.bincount(at[known], minlength=size) + (ends > 0)
             edges = np.concatenate([[0], np.cumsum(np.bincount(at[rare], minlength=size))]).astype(np.int32)
             rest = words.filter(pa.array(rare)).dictionary_decode().cast(pa.string()), pa.array(spelled[rare])
