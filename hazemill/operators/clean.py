@@ -66,19 +66,26 @@ def with_date_and_hour(df: DataFrame, strict: bool = False) -> DataFrame:
     return df.withColumns({"date": F.to_date(moment), "hour": F.hour(moment)})
 
 
-def _in_schema(df: DataFrame, domain: str) -> DataFrame:
-    wanted = [f.name for f in PROCESSED[domain].fields]
+def _in_schema(df: DataFrame, domain: str, extra: Sequence[str] = ()) -> DataFrame:
+    wanted = [*(f.name for f in PROCESSED[domain].fields), *extra]
     return df.select(*(c for c in wanted if c in df.columns))
 
 
 def clean_weather(
-    documents: DataFrame, strict: bool = False, drop: Sequence[str] = ("run_date",), order: str = "source"
+    documents: DataFrame,
+    strict: bool = False,
+    drop: Sequence[str] = ("run_date",),
+    order: str = "source",
+    extra: Sequence[str] = (),
 ) -> DataFrame:
-    """Weather documents to one row per city-hour; the first document of a city in a drop wins."""
+    """Weather documents to one row per city-hour; the first document of a city in a drop wins.
+
+    ``extra`` names columns of the documents to keep besides those of the processed table.
+    """
     keys = [*drop, "city_id", "city_name"]
     first = dedup_first(documents.withColumnsRenamed(WEATHER_NAMES), keys, [order])
     hourly = impute_zero(explode_hourly(first, WEATHER_MEASURES, strict), WEATHER_MEASURES)
-    return _in_schema(with_date_and_hour(hourly, strict), "weather")
+    return _in_schema(with_date_and_hour(hourly, strict), "weather", extra)
 
 
 def clean_air(
@@ -87,17 +94,18 @@ def clean_air(
     dedup: bool = False,
     drop: Sequence[str] = ("run_date",),
     order: str = "source",
+    extra: Sequence[str] = (),
 ) -> DataFrame:
     """Air-quality documents to one row per city-hour with its AQI.
 
     Repeated documents are all kept unless ``dedup``. A row without any sub-index gets
-    ``reject``, or fails the job with ``strict``.
+    ``reject``, or fails the job with ``strict``. ``extra`` as for weather.
     """
     documents = documents.withColumnsRenamed(AIR_NAMES)
     if dedup:
         documents = dedup_first(documents, [*drop, "city_id"], [order])
     hourly = impute_zero(explode_hourly(documents, AIR_MEASURES, strict), AIR_MEASURES)
-    return _in_schema(with_aqi(with_date_and_hour(hourly, strict), strict), "aq")
+    return _in_schema(with_aqi(with_date_and_hour(hourly, strict), strict), "aq", extra)
 
 
 def with_aqi(df: DataFrame, strict: bool = False) -> DataFrame:
