@@ -185,7 +185,8 @@ class Splitters:
     @staticmethod
     def of(h1: np.ndarray, h2: np.ndarray, buckets: int) -> Splitters:
         order = np.lexsort((h2, h1))
-        cuts = order[(np.arange(1, buckets) * len(order)) // buckets] if len(order) else order
+        # Each sampled suffix is a splitter once at most: equal splitters are different suffixes.
+        cuts = order[np.unique(np.arange(1, buckets) * len(order) // buckets)] if len(order) else order
         return Splitters(h1[cuts], h2[cuts])
 
     def repeated(self) -> tuple[set[int], set[tuple[int, int]]]:
@@ -289,7 +290,8 @@ def _undecided(batches: Batches, length: int) -> Iterator[tuple]:
 
 
 def _sampled(docs: DataFrame, length: int, buckets: int) -> list[Splitters]:
-    """Splitters of the three rounds, from the suffixes of a bounded sample of documents."""
+    """Splitters of the three rounds, from the suffixes of a bounded sample of documents that have any."""
+    docs = docs.filter(F.length("body") >= length)
     total = docs.count()
     sample = docs.sample(min(1.0, SAMPLE_DOCS / max(total, 1)), 11).limit(2 * SAMPLE_DOCS)
 

@@ -225,6 +225,25 @@ def test_splitters_settle_hot_suffixes():
     assert np.bincount(buckets).max() < 800
 
 
+def test_suffix_dedup_with_fewer_suffixes_than_partitions(spark):
+    def text(n, seed):
+        return "".join(np.random.default_rng(seed).choice(list("abcdefgh "), n))
+
+    few = suffix_dedup.Splitters.of(np.array([5, 9]), np.array([1, 1]), 4)
+    assert few.repeated() == (set(), set())
+    short = [(i, text(60, i)) for i in range(300)]
+    long = [(1000, text(250, 1000)), (1001, text(900, 1001)), (1002, text(300, 1001) + text(300, 1002))]
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "200")
+    try:
+        for data in (long[:1], short + long):
+            docs = spark.createDataFrame(data, "doc_id bigint, text string").repartition(2)
+            found = rows(suffix_dedup.remove_repeats(docs).drop("kept"))
+            assert found == sorted(removed([(i, t.encode()) for i, t in data]), key=repr)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def test_secrets(spark, documents, empty):
     found = {(r.doc_id, r.n_assign, r.n_access, r.n_hex, r.spans) for r in secrets.scan_digests(documents, scratch_path(spark, "ledger")).collect()}
     text = dict(texts())[8]
