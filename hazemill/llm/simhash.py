@@ -32,21 +32,27 @@ BLOCKS = [(0, 11), (11, 11), (22, 11), (33, 11), (44, 10), (54, 10)]
 BLOCK_ROWS, SMALL_RUN = 4096, 64
 
 
-def fingerprint(text: bytes | None, words_per_shingle: int) -> int:
-    """SimHash of the word shingles of a UTF-8 text, A-Z in lower case, as a signed 64-bit number."""
+def shingle_hashes(text: bytes | None, words_per_shingle: int) -> list[int]:
+    """Hashes of the word shingles of a UTF-8 text, A-Z in lower case; of all its words if they are fewer."""
     words = text.lower().split() if text else []
     if not words:
-        return 0
+        return []
     joined = b" ".join(words)
     if len(words) <= words_per_shingle:
-        hashes = [xxhash.xxh64_intdigest(joined, SEED)]
-    else:
-        ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
-        starts = np.concatenate([[0], ends[:-1] + 1])
-        last = len(words) - words_per_shingle + 1
-        spans = zip(starts[:last].tolist(), ends[words_per_shingle - 1 :].tolist(), strict=True)
-        digest = xxhash.xxh64_intdigest
-        hashes = [digest(joined[a:b], SEED) for a, b in spans]
+        return [xxhash.xxh64_intdigest(joined, SEED)]
+    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
+    starts = np.concatenate([[0], ends[:-1] + 1])
+    last = len(words) - words_per_shingle + 1
+    spans = zip(starts[:last].tolist(), ends[words_per_shingle - 1 :].tolist(), strict=True)
+    digest = xxhash.xxh64_intdigest
+    return [digest(joined[a:b], SEED) for a, b in spans]
+
+
+def fingerprint(text: bytes | None, words_per_shingle: int) -> int:
+    """SimHash of the word shingles of a text, as a signed 64-bit number."""
+    hashes = shingle_hashes(text, words_per_shingle)
+    if not hashes:
+        return 0
     ones = np.zeros(64, np.int64)
     for low in range(0, len(hashes), 1 << 16):
         part = np.array(hashes[low : low + (1 << 16)], np.uint64)

@@ -14,7 +14,7 @@ import xxhash
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from hazemill.llm import bpe, chat, packing, pq_dedup, quality, queries, secrets, simhash, suffix_dedup, suffix_tree, token_store
+from hazemill.llm import bpe, chat, near_copies, packing, pq_dedup, quality, queries, secrets, simhash, suffix_dedup, suffix_tree, token_store
 from hazemill.llm.common import components
 from hazemill.session import scratch_path
 from tests.conftest import rows
@@ -174,6 +174,46 @@ def test_simhash_large_buckets(spark, monkeypatch):
     assert {v: found.get(v, v) for v in values} == {v: root(v) for v in values}
 
 
+def test_near_duplicates_stage(spark, empty, monkeypatch):
+    def word_sets(data):
+        for _, text in data:
+            w = (text or "").lower().split()
+            yield {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if w else set()
+
+    rng = np.random.default_rng(11)
+    data, passage = [], [f"passage{i}" for i in range(30)]
+    for i in range(25):
+        words = [f"v{k}" for k in rng.integers(0, 3000, int(rng.integers(80, 400)))] + passage
+        data.append((len(data) + 1, " ".join(words)))
+        for edits in (1, 2, 3, 4, 6, 9):  # near copies on both sides of 0.8
+            other = list(words)
+            for at in rng.integers(0, len(other), edits):
+                other[at] = f"edit{rng.integers(1 << 30)}"
+            data.append((len(data) + 1, " ".join(other)))
+    data += [(None, "a b"), (900, "a b"), (901, None), (902, " "), (903, "A  b"), (904, "a b c d e f"), (905, data[0][1])]
+    sets = list(word_sets(data))
+    ratio = lambda x, y: len(x & y) / len(x | y) if x | y else 1.0
+    likeness = [[ratio(x, y) for y in sets] for x in sets]
+    assert sum(0.8 <= r < 0.95 for line in likeness for r in line) > 60
+    group = list(range(len(data)))
+    for _ in range(len(data)):
+        after = [min(group[b] for b, r in enumerate(line) if r >= 0.8) for line in likeness]
+        if after == group:
+            break
+        group = after
+    least = {}
+    for (i, text), g in zip(data, group, strict=True):
+        least[g] = min(least.get(g, (True, 0, "")), (i is None, i or 0, text or ""))
+    docs = spark.createDataFrame([(i, t, len(t) if t else None) for i, t in data], "doc_id bigint, text string, n_chars bigint").repartition(3)
+    expected = sorted(((None if none else i, t) for none, i, t in least.values()), key=repr)
+    for size in (near_copies.BLOCK_ROWS, 16):
+        monkeypatch.setattr(near_copies, "BLOCK_ROWS", size)
+        found = corpus_pipeline.keep_distinct(spark, docs, "")
+        assert found.columns == docs.columns
+        assert sorted(((r.doc_id, r.text or "") for r in found.collect()), key=repr) == expected
+    assert corpus_pipeline.keep_distinct(spark, empty, "").count() == 0
+
+
 def test_components_of_a_path(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(300)] + [(1000, 1001), (5, 5)], "a bigint, b bigint")
     found = {r.node: r.root for r in components(links.repartition(4)).collect()}
