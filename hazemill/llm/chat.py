@@ -4,8 +4,11 @@ Each assistant turn becomes an example: all turns before it are its context, onl
 is under the loss mask. An example's text is the beginning of its conversation's transcript, up
 to the end of the turn, so a conversation is stored once, as its transcript, with the place of
 each target: linear in the conversation, where the examples written out grow with its square.
-``examples`` gives the texts themselves. What follows the last assistant turn is in the
-transcript but in no example.
+``examples`` makes the texts themselves, one row each as it is read and never held together, and
+``read_back`` reads the digests from them: what is under a loss mask from its own example, the
+turns from the last example and the remainder. What follows the last assistant turn is that
+remainder, in the transcript but in no example; ``formatted_chars`` counts each turn once, as the
+last example and the remainder hold it.
 
 A turn is ``[TURN]role[TEXT]text[END]``. Within roles and texts ``&``, ``<`` and ``[`` are
 written ``&amp;``, ``&lt;`` and ``&lb;``, so no control string of this or another bracketed or
@@ -61,21 +64,36 @@ def format_conversations(conversations: DataFrame) -> DataFrame:
 
 
 def examples(formatted: DataFrame) -> DataFrame:
-    """One row per assistant turn: its text, and the range of it under the loss mask."""
-    rows = formatted.select("conv_id", "transcript", F.posexplode("targets").alias("example", "target"))
+    """One row per assistant turn: its text, the range of it under the loss mask, whether it is its conversation's last."""
+    rows = formatted.select("conv_id", "transcript", F.size("targets").alias("n"), F.posexplode("targets").alias("example", "target"))
     start, length = F.col("target.start"), F.col("target.length")
     text = F.substring("transcript", F.lit(1), (start + length + len(END)).cast("int"))
-    return rows.select("conv_id", "example", text.alias("text"), start.alias("loss_start"), (start + length).alias("loss_end"))
+    is_last = F.col("example") == F.col("n") - 1
+    return rows.select("conv_id", "example", text.alias("text"), start.alias("loss_start"), (start + length).alias("loss_end"), is_last.alias("last"))
 
 
 def read_back(formatted: DataFrame) -> DataFrame:
-    """Digests of the turns and of what is under the loss mask, all read from the transcripts."""
-    turns = F.filter(F.split("transcript", r"\[TURN\]", -1), lambda t, i: i > 0)
+    """Digests of the turns and of what is under the loss masks, all read from the examples and the remainder."""
+    last = F.element_at("targets", -1)
+    end = F.when(F.size("targets") > 0, last["start"] + last["length"] + len(END)).otherwise(F.lit(0)).cast("int")
+    remainder = formatted.select("conv_id", F.lit(-1).alias("example"), F.lit("").alias("loss"), F.substring("transcript", end + 1, F.length("transcript")).alias("text"))
+    shown = examples(formatted)
+    loss = unescape(F.substring("text", (F.col("loss_start") + 1).cast("int"), (F.col("loss_end") - F.col("loss_start")).cast("int")))
+    read = shown.select("conv_id", "example", loss.alias("loss"), F.when(F.col("last"), F.col("text")).alias("text"))
+    # Texts of the last example and of the remainder, and the loss texts; nothing else of an example is kept.
+    kept = read.unionByName(remainder)
+    by_conv = kept.groupBy("conv_id").agg(
+        F.max(F.when(F.col("example") >= 0, F.col("text"))).alias("shown"),
+        F.max(F.when(F.col("example") < 0, F.col("text"))).alias("after"),
+        F.sort_array(F.collect_list(F.when(F.col("example") >= 0, F.struct("example", "loss")))).alias("losses"),
+    )
+    whole = by_conv.select("conv_id", "losses", F.concat(F.coalesce("shown", F.lit("")), "after").alias("text"))
+    turns = F.filter(F.split("text", r"\[TURN\]", -1), lambda t, i: i > 0)
     parts = F.transform(turns, lambda t: F.split(F.regexp_replace(t, r"\[END\]$", ""), r"\[TEXT\]", 2))
-    rows = formatted.select("conv_id", "transcript", "targets", F.explode(F.array(parts)).alias("parts"))
+    rows = whole.select("conv_id", "losses", "text", F.explode(F.array(parts)).alias("parts"))
     said = F.array_join(F.transform("parts", lambda p: F.concat(unescape(p[0]), F.lit("\n"), unescape(p[1]), F.lit("\n"))), "")
-    loss = F.array_join(F.transform("targets", lambda t: unescape(F.substring(F.col("transcript"), (t["start"] + 1).cast("int"), t["length"].cast("int")))), "")
-    rows = rows.select("conv_id", F.size("parts").cast("bigint").alias("n_turns"), said.alias("said"), loss.alias("loss"), F.length("transcript").cast("bigint").alias("formatted_chars"))
+    loss = F.array_join(F.col("losses")["loss"], "")
+    rows = rows.select("conv_id", F.size("parts").cast("bigint").alias("n_turns"), said.alias("said"), loss.alias("loss"), F.length("text").cast("bigint").alias("formatted_chars"))
     return rows.select(
         "conv_id",
         "n_turns",

@@ -332,6 +332,17 @@ def test_chat(spark):
     assert chat.read_back(chat.format_conversations(conversations.limit(0))).count() == 0
 
 
+def test_chat_digests_are_read_from_the_examples(spark, monkeypatch):
+    data = [(1, i, "assistant" if i % 2 else "user", f"turn {i}") for i in range(7)] + [(2, 0, "user", "alone")]
+    formatted = chat.format_conversations(spark.createDataFrame(data, "conv_id bigint, turn bigint, role string, text string"))
+    found = {r.conv_id: (r.n_turns, r.loss_chars, r.formatted_chars) for r in chat.read_back(formatted).collect()}
+    assert found == {r.conv_id: ({1: 7, 2: 1}[r.conv_id], {1: 18, 2: 0}[r.conv_id], len(r.transcript)) for r in formatted.collect()}
+    written = chat.examples
+    monkeypatch.setattr(chat, "examples", lambda rows: written(rows).filter("example <> 1"))
+    without = {r.conv_id: r.loss_chars for r in chat.read_back(formatted).collect()}
+    assert without == {1: 12, 2: 0}
+
+
 def test_chat_equals_sql(spark):
     folder = "/root/testdata/sf0.001"
     found = queries.op4_prefix_target_chat(spark, folder).toPandas().sort_values("conv_id").reset_index(drop=True)
