@@ -80,12 +80,26 @@ def fit(sample: np.ndarray, nodes: int) -> Quantiser:
     return Quantiser(width, centres, np.stack(words))
 
 
+def fit_by_length(sample: list[list[float]], nodes: int) -> dict[int, Quantiser]:
+    """A quantiser for each length of vectors in the sample; ``nodes`` are all vectors, of any length."""
+    by_length: dict[int, list[list[float]]] = {}
+    for vector in sample:
+        by_length.setdefault(len(vector), []).append(vector)
+    return {n: fit(np.array(rows, np.float64), nodes * len(rows) // len(sample)) for n, rows in by_length.items()}
+
+
+def of_length(quantisers: dict[int, Quantiser], length: int) -> Quantiser:
+    """The quantiser of a length; lengths too rare for the sample have one list, which is searched whole."""
+    width = -(-length // SUBSPACE) * SUBSPACE
+    return quantisers.get(length) or Quantiser(width, np.zeros((1, width)), np.zeros((width // SUBSPACE, 1, SUBSPACE)))
+
+
 def _arrays(column: pa.Array, dtype=np.float32) -> np.ndarray:
     """Rows of equal length."""
     return np.frombuffer(b"".join(column.to_pylist()), dtype).reshape(len(column), -1)
 
 
-def _entries(quantiser: Quantiser):
+def _entries(quantisers: dict[int, Quantiser]):
     """Code nodes: the list each belongs to, those it probes, its code and how far that misses."""
 
     def encode(batches: Batches) -> Batches:
@@ -93,6 +107,7 @@ def _entries(quantiser: Quantiser):
             if not batch.num_rows:
                 continue
             raw = _arrays(batch.column(2)).astype(np.float64)  # of one length, see below
+            quantiser = of_length(quantisers, raw.shape[1])
             rows = quantiser.padded(raw)
             distance = (quantiser.centres**2).sum(axis=1) - 2 * rows @ quantiser.centres.T
             some = min(PROBES, distance.shape[1])
@@ -126,7 +141,7 @@ def _entries(quantiser: Quantiser):
 CODED = "node bigint, label string, home int, probes array<int>, vector binary, copies bigint, code binary, bound double"
 
 
-def _compare(quantiser: Quantiser):
+def _compare(quantisers: dict[int, Quantiser]):
     """Link the queries of a list with one block of its stored nodes, run by run."""
 
     def compare(batches: Batches) -> Batches:
@@ -146,14 +161,15 @@ def _compare(quantiser: Quantiser):
                     held = part.slice(0, first) if held is None else pa.concat_batches([held, part.slice(0, first)])
                 for at in range(first, part.num_rows, QUERY_ROWS):
                     if held is not None:
-                        yield from _links(quantiser, key[1], held, part.slice(at, min(QUERY_ROWS, part.num_rows - at)))
+                        yield from _links(quantisers, key[1], held, part.slice(at, min(QUERY_ROWS, part.num_rows - at)))
 
     return compare
 
 
-def _links(quantiser: Quantiser, list_: int, held: pa.RecordBatch, asked: pa.RecordBatch) -> Batches:
+def _links(quantisers: dict[int, Quantiser], list_: int, held: pa.RecordBatch, asked: pa.RecordBatch) -> Batches:
     queries, rows = _arrays(asked.column(8)).astype(np.float64), _arrays(held.column(8)).astype(np.float64)
     codes, bound = _arrays(held.column(9), np.uint8), held.column(10).to_numpy()
+    quantiser = of_length(quantisers, queries.shape[1])
     unit = quantiser.padded(queries)
     near = np.repeat((unit @ quantiser.centres[list_])[:, None], len(codes), axis=1)
     for s, words in enumerate(quantiser.words):
@@ -206,14 +222,13 @@ def link_vectors(embeddings: DataFrame) -> DataFrame:
     )
     classes = rows.filter("vector is not null").groupBy("label", "vector").agg(F.min("vec_id").alias("least"), F.count(F.lit(1)).alias("copies"))
     classes = stored(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
-    widest = classes.agg(F.max(F.size("vector")), F.count(F.lit(1))).first()
-    if not widest[1]:
+    total = classes.count()
+    if not total:
         return rows.select("vec_id", F.lit(0).cast("bigint").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
-    sample = classes.sample(min(1.0, TRAIN_ROWS / widest[1]), 7).filter(F.size("vector") == widest[0]).limit(TRAIN_ROWS)
-    sample = sample.select("vector").toArrow().column(0).combine_chunks()
+    sample = classes.sample(min(1.0, TRAIN_ROWS / total), 7).limit(TRAIN_ROWS).select("vector").toArrow().column(0)
     if not len(sample):
-        sample = classes.filter(F.size("vector") == widest[0]).limit(TRAIN_ROWS).select("vector").toArrow().column(0).combine_chunks()
-    quantiser = fit(np.array(sample.to_pylist(), np.float64), widest[1])
+        sample = classes.limit(TRAIN_ROWS).select("vector").toArrow().column(0)
+    quantisers = fit_by_length(sample.to_pylist(), total)
 
     def pack(batches: Batches) -> Batches:
         for batch in batches:
@@ -228,7 +243,7 @@ def link_vectors(embeddings: DataFrame) -> DataFrame:
     # Vectors of one label and length are compared.
     kind = F.concat_ws(":", F.col("label").cast("string"), F.size("vector").cast("string")).alias("label")
     nodes = classes.select("node", kind, "vector", "copies")
-    both = lambda batches: _entries(quantiser)(pack(batches))
+    both = lambda batches: _entries(quantisers)(pack(batches))
     coded = stored(in_tasks(nodes, both, CODED), "codes")
     # One row per label and list; Spark broadcasts it only below its threshold.
     sizes = stored(coded.groupBy("label", F.col("home").alias("list")).agg(F.count(F.lit(1)).alias("size")), "lists")
@@ -241,7 +256,7 @@ def link_vectors(embeddings: DataFrame) -> DataFrame:
     asked = asked.select("label", "list", "block", F.lit(False).alias("stored"), *rest)
     order = ["label", "list", "block", F.desc("stored")]
     runs = kept.union(asked).repartition("label", "list", "block").sortWithinPartitions(*order)
-    links = stored(in_tasks(runs, _compare(quantiser), LINK), "vector_links")
+    links = stored(in_tasks(runs, _compare(quantisers), LINK), "vector_links")
 
     counts = links.groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("links"))
     roots = components(links.select("a", "b"))

@@ -411,6 +411,25 @@ def test_product_quantisation(spark):
     assert pq_dedup.link_vectors(embeddings.limit(0)).count() == 0
 
 
+def test_product_quantisation_probes_some_lists(spark):
+    rng = np.random.default_rng(8)
+    units = rng.normal(size=(18000, 64))
+    units /= np.linalg.norm(units, axis=1, keepdims=True)
+    side = rng.normal(size=(1500, 64))
+    side -= (side * units[:1500]).sum(axis=1, keepdims=True) * units[:1500]
+    side /= np.linalg.norm(side, axis=1, keepdims=True)
+    cosine = rng.uniform(0.932, 0.96, (1500, 1))
+    vectors = np.concatenate([units, cosine * units[:1500] + np.sqrt(1 - cosine**2) * side]).astype(np.float32)
+    sample = [*vectors.tolist(), [1.0] * 100]  # one longer vector
+    assert len(pq_dedup.fit_by_length(sample, len(sample))[64].centres) >= 4 * pq_dedup.PROBES
+    data = [(i, v, 0) for i, v in enumerate(sample)]
+    embeddings = spark.createDataFrame(data, "vec_id bigint, embedding array<float>, label int").repartition(4)
+    links = {r.vec_id: r.n_links for r in pq_dedup.link_vectors(embeddings).collect()}
+    found = sum(links[i] > 0 for i in range(1500))
+    print(f"recall {found / 1500:.4f} with {pq_dedup.PROBES} probes")
+    assert found >= 0.97 * 1500 and sum(links.values()) <= 3000
+
+
 def test_suffix_tree(documents, empty):
     def words(text):
         return [*(text or "").encode().lower().split(), "end"]
