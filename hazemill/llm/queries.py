@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazemill.llm import bpe, chat, packing, pq_dedup, quality, secrets, simhash, suffix_dedup, suffix_tree, token_store
+from hazemill.llm import (
+    bpe,
+    chat,
+    packing,
+    pq_dedup,
+    quality,
+    secrets,
+    simhash,
+    source_audit,
+    suffix_dedup,
+    suffix_tree,
+    token_store,
+    vector_codes,
+    warc,
+)
 from hazemill.llm.common import read_table
 from hazemill.session import scratch_path
 
@@ -67,6 +81,19 @@ def op10_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.token_digests(read_table(spark, sf_dir, "documents"), word_bpe())
 
 
+def op11_transducer_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_audit.audit_sources(read_table(spark, sf_dir, "documents"))
+
+
+def op12_warc_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = warc.write_archive(read_table(spark, sf_dir, "pages"), scratch_path(spark, "warc"))
+    return warc.read_archive(spark, path, payloads=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op13_walsh_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compress_vectors(read_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -80,6 +107,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_suffix_tree,
         op9_suffix_dedup,
         op10_prefix_bpe,
+        op11_transducer_audit,
+        op12_warc_shards,
+        op13_walsh_codes,
     )
 }
-ORACLES: dict[str, str] = {"op4_prefix_target_chat": chat.ORACLE}
+ORACLES: dict[str, str] = {
+    "op4_prefix_target_chat": chat.ORACLE,
+    "op11_transducer_audit": source_audit.ORACLE,
+    "op12_warc_shards": warc.ORACLE,
+    "op13_walsh_codes": vector_codes.ORACLE,
+}
