@@ -3,21 +3,32 @@
 from __future__ import annotations
 
 from checks.fixtures import BATCH, FIRST_DAY, READING
-from checks.queries import DIGITS, STRETCH
-from hazemill.functions.aqi import CONCENTRATION_BANDS, INDEX_BANDS
+from checks.queries import ASKED, DIGITS, STRETCH
+
+# Fixed values, written out here so that the queries' own tables are checked against them: of each
+# pollutant the bands of its concentration (co in mg), least and greatest, and those of the index.
+BANDS = {
+    "pm25": [(0, 35), (36, 75), (76, 115), (116, 150), (151, 250), (251, 350), (351, 500)],
+    "pm10": [(0, 50), (51, 100), (101, 250), (251, 350), (351, 430), (431, 500), (501, 600)],
+    "co": [(0, 5), (5.1, 10), (10.1, 35), (35.1, 60), (60.1, 90), (90.1, 120), (120.1, 150)],
+    "so2": [(0, 50), (51, 100), (101, 350), (351, 500), (501, 750), (751, 1000), (1001, 1200)],
+    "no2": [(0, 40), (41, 80), (81, 180), (181, 280), (281, 400), (401, 500), (501, 600)],
+    "o3": [(0, 100), (101, 160), (161, 215), (216, 265), (266, 800), (801, 1000), (1001, 1200)],
+}
+INDEX = [(0, 50), (51, 100), (101, 150), (151, 200), (201, 300), (301, 400), (401, 500)]
 
 
 def sub_index(pollutant: str, c: str) -> str:
     cases = " ".join(
         f"WHEN {c} BETWEEN {low}e0 AND {high}e0 THEN "
         f"({i_high}e0 - {i_low}e0) / ({high}e0 - {low}e0) * ({c} - {low}e0) + {i_low}e0"
-        for (low, high), (i_low, i_high) in zip(CONCENTRATION_BANDS[pollutant], INDEX_BANDS)
+        for (low, high), (i_low, i_high) in zip(BANDS[pollutant], INDEX)
     )
     return f"CAST(round_even(CASE {cases} END, 0) AS INT)"
 
 
-def aqi_of(o3: str = "o3") -> str:
-    inputs = {"pm25": "pm25", "pm10": "pm10", "co": "(co / 1000e0)", "so2": "so2", "no2": "no2", "o3": o3}
+def aqi_of(o3: str = "o3", pm25: str = "pm25") -> str:
+    inputs = {"pm25": pm25, "pm10": "pm10", "co": "(co / 1000e0)", "so2": "so2", "no2": "no2", "o3": o3}
     return f"greatest({', '.join(sub_index(p, c) for p, c in inputs.items())})"
 
 
@@ -137,6 +148,10 @@ COUNT_NATION = "(SELECT count(*) FROM nation)"
 IMPUTED_RAIN = "CASE WHEN event_type <> 'error' THEN rain ELSE 0e0 END"
 IMPUTED_O3 = "(CASE WHEN event_type <> 'error' THEN o3 ELSE 0e0 END)"
 
+# Of a city's date the readings of the last block of event ids count.
+NEWEST = f"""r AS (SELECT * FROM readings JOIN dim_city USING (city_id)
+  QUALIFY event_id // {BATCH} = max(event_id // {BATCH}) OVER (PARTITION BY city_id, full_date))"""
+
 ORACLES: dict[str, str] = {
     "latest_snapshot": """SELECT user_id, ts, event_id, event_type, value FROM events
       QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""",
@@ -169,6 +184,35 @@ ORACLES: dict[str, str] = {
     "fetch_failures": """SELECT c_custkey AS city_id, c_name AS city_name, c_nationkey * 0.5e0 AS lat,
         c_nationkey * 1.5e0 AS lon
       FROM customer WHERE c_custkey NOT IN (SELECT user_id FROM events)""",
+    "attach_results_dated": f"""SELECT c_custkey AS city_id, CAST(o_orderdate AS DATE) AS start_date, c_name AS city_name,
+        CAST(count(*) AS INT) AS n_hours, max(CAST(o_totalprice AS DOUBLE)) AS worst_pm25
+      FROM customer JOIN orders ON o_custkey = c_custkey
+      WHERE CAST(o_orderdate AS DATE) BETWEEN DATE '{ASKED[0]}' AND DATE '{ASKED[1]}' GROUP BY ALL""",
+    "fetch_failures_dated": f"""SELECT c_custkey AS city_id, c_name AS city_name, c_nationkey * 0.5e0 AS lat,
+        c_nationkey * 1.5e0 AS lon, CAST(d AS DATE) AS start_date, CAST(d AS DATE) AS end_date
+      FROM customer, generate_series(DATE '{ASKED[0]}', DATE '{ASKED[1]}', INTERVAL 1 DAY) t(d)
+      WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND CAST(o_orderdate AS DATE) = CAST(d AS DATE))""",
+    "scan_unreadable": f"""WITH {READINGS}, {CITY}, hours AS (
+        SELECT CAST(city_id AS BIGINT) AS city_id, wind_direction, event_id,
+          row_number() OVER (PARTITION BY city_id, date_trunc('month', full_date), event_id // {BATCH} ORDER BY event_id) AS place
+        FROM readings JOIN dim_city USING (city_id)),
+      judged AS (
+        SELECT *, CASE WHEN city_id % 5 = 1 THEN 'unreadable temperature_2m'
+          WHEN city_id % 5 = 2 THEN 'arrays of different lengths'
+          WHEN city_id % 5 = 3 AND place = 1 THEN 'unreadable time' END AS reject FROM hours)
+      SELECT city_id, reject, count(*) AS n_rows,
+        CASE WHEN city_id % 5 = 2 THEN '0' WHEN city_id % 5 = 0 THEN min(wind_direction || '.5') ELSE min(CAST(wind_direction AS VARCHAR)) END AS least_direction,
+        CASE WHEN city_id % 5 = 2 THEN '0' WHEN city_id % 5 = 0 THEN max(wind_direction || '.5') ELSE max(CAST(wind_direction AS VARCHAR)) END AS greatest_direction
+      FROM judged WHERE city_id % 5 <> 2 OR place = 1 GROUP BY city_id, reject""",
+    "load_report": f"""WITH {READINGS}, judged AS (
+        SELECT *, event_type = 'error' AND hour < 12 AS spoilt, {AQI} IS NULL AS no_index FROM readings),
+      good AS (SELECT * FROM judged WHERE NOT spoilt)
+      SELECT 'read' AS outcome, count(*) AS n FROM judged
+      UNION ALL SELECT 'rejected', count(*) FILTER (spoilt) FROM judged
+      UNION ALL SELECT 'unmatched', CAST(0 AS BIGINT)
+      UNION ALL SELECT 'superseded', CAST(0 AS BIGINT)
+      UNION ALL SELECT 'repeated', count(*) - count(DISTINCT (city_id, full_date, hour)) FROM good
+      UNION ALL SELECT 'loaded', count(*) FROM good""",
     "first_geocode": """SELECT c_custkey AS city_id,
         CASE WHEN c_mktsegment = 'BUILDING' THEN upper(c_name) ELSE c_name END AS name,
         CAST(c_nationkey AS VARCHAR) AS lat, CAST(c_custkey AS VARCHAR) AS lon
@@ -281,7 +325,7 @@ ORACLES: dict[str, str] = {
       FROM customer WHERE c_acctbal >= 0
       UNION ALL SELECT 'dim_date', date_id, CAST(full_date AS VARCHAR), day_of_week FROM dim_date
       UNION ALL SELECT 'dim_time', time_id, CAST(hour AS VARCHAR), time_bucket FROM dim_time""",
-    "job_daily": f"""WITH {READINGS}, {CITY}, r AS (SELECT * FROM readings JOIN dim_city USING (city_id))
+    "job_daily": f"""WITH {READINGS}, {CITY}, {NEWEST}
       SELECT 'fact_weather' AS table_name, city_name, full_date, hour, temperature AS m1, {IMPUTED_RAIN} AS m2,
         CAST(wind_direction AS DOUBLE) AS m3 FROM r
       UNION ALL SELECT 'fact_air_quality', city_name, full_date, hour, CAST({aqi_of(IMPUTED_O3)} AS DOUBLE),
@@ -290,6 +334,12 @@ ORACLES: dict[str, str] = {
 
 ORACLES["job_incremental"] = ORACLES["job_daily"]
 
+RECRAWLED_PM25 = "(pm25 + CASE WHEN city_id % 3 = 0 THEN 1e0 ELSE 0e0 END)"
+ORACLES["load_groupings"] = f"""WITH {READINGS}, {CITY}, {NEWEST}
+  SELECT grouping_name, city_name, full_date, hour, {RECRAWLED_PM25} AS pm25,
+    CAST({aqi_of(IMPUTED_O3, RECRAWLED_PM25)} AS DOUBLE) AS aqi
+  FROM r, (VALUES ('at once'), ('newest drop first'), ('as they land')) g(grouping_name)"""
+
 for _pollutant, _factor in STRETCH.items():
     _value = f"(co / 1000e0) * {_factor}e0" if _pollutant == "co" else f"{_pollutant} * {_factor}e0"
     ORACLES[f"aqi_subindex_{_pollutant}"] = f"""WITH {READINGS}, s AS (

@@ -7,8 +7,10 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from checks import fixtures as fx
+from hazemill import storage
 from hazemill.functions.aqi import CONCENTRATION_BANDS, aqi, co_milligrams, sub_index
 from hazemill.functions.dates import iso_week
 from hazemill.operators import clean, constraints, load
@@ -16,7 +18,7 @@ from hazemill.plans import air, weather
 from hazemill.plans.correlation import weather_pollution_correlation
 from hazemill.plans.jobs import Zones, daily_facts, incremental_facts, refresh_dimensions
 from hazemill.plans.star import Star
-from hazemill.schemas import HOURLY_AIR
+from hazemill.schemas import HOURLY_AIR, HOURLY_WEATHER, RAW
 from hazemill.session import scratch_path
 from hazemill.sources import calendar, landing, manifest, processed
 from hazemill.streaming.ingest import ingest_new_files, read_ingested
@@ -96,6 +98,33 @@ def scan_raw_json(spark, sf_dir):
     )
 
 
+@query("scan_unreadable")
+def scan_unreadable(spark, sf_dir):
+    """What becomes of documents with fractional codes, values that are no numbers or times, and ragged arrays."""
+    documents = fx.weather_documents(spark, sf_dir)
+    text = {f.name: F.col(f.name).cast("array<string>") for f in HOURLY_WEATHER.fields}
+    kind = F.col("city_id") % 5
+    first = lambda value, c: F.concat(F.array(F.lit(value)), F.slice(text[c], 2, F.size(c)))
+    spoilt = documents.withColumns(
+        text
+        | {
+            "wind_direction_10m": F.when(kind == 0, F.transform("wind_direction_10m", lambda v: F.concat(v.cast("string"), F.lit(".5")))).otherwise(text["wind_direction_10m"]),
+            "temperature_2m": F.when(kind == 1, first("n/a", "temperature_2m")).otherwise(text["temperature_2m"]),
+            "rain": F.when(kind == 2, F.concat(text["rain"], F.array(F.lit("0"), F.lit("0")))).otherwise(text["rain"]),
+            "time": F.when(kind == 3, first("noon", "time")).otherwise(F.col("time")),
+        }
+    )
+    schema = StructType([*RAW["weather"].fields, StructField("batch", LongType())])
+    landed = landing.read_landing(spark, _landed(spark, spoilt, "weather"), "weather", schema)
+    rows = clean.clean_weather(landed, drop=("run_date", "batch"))
+    codes = StructType([StructField("city_id", LongType()), StructField("reject", StringType()), StructField("wind_direction", StringType())])
+    return clean.conform(rows, codes).groupBy("city_id", "reject").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.min("wind_direction").alias("least_direction"),
+        F.max("wind_direction").alias("greatest_direction"),
+    )
+
+
 @query("raw_json_roundtrip")
 def raw_json_roundtrip(spark, sf_dir):
     cities = fx.table(spark, sf_dir, "customer").selectExpr(
@@ -105,7 +134,7 @@ def raw_json_roundtrip(spark, sf_dir):
         "CASE WHEN c_acctbal >= 0 THEN c_mktsegment END AS lon",
         "DATE'2024-01-01' AS run_date",
     )
-    return landing.read_landing(spark, _landed(spark, cities, "city"), "city").drop("source")
+    return landing.read_landing(spark, _landed(spark, cities, "city"), "city").select("city_id", "name", "lat", "lon", "run_date")
 
 
 @query("sink_roundtrip")
@@ -174,6 +203,34 @@ def fetch_failures(spark, sf_dir):
     return manifest.failed_fetches(_cities(spark, sf_dir), _responses(spark, sf_dir))
 
 
+# Days of orders that the dated requests ask for.
+ASKED = (date(1996, 1, 1), date(1996, 3, 31))
+
+
+def _dated(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Requests for every city on several days, and a response for each city and day with orders."""
+    requests = manifest.fetch_manifest(_cities(spark, sf_dir), *(F.lit(d) for d in ASKED))
+    orders = fx.table(spark, sf_dir, "orders").selectExpr(
+        "o_custkey AS city_id", "CAST(o_orderdate AS DATE) AS start_date", "CAST(o_totalprice AS DOUBLE) AS pm2_5", "o_orderkey"
+    )
+    hourly = F.array_sort(F.collect_list(F.struct("o_orderkey", "pm2_5"))).getField("pm2_5")
+    responses = orders.groupBy("city_id", "start_date").agg(F.struct(hourly.alias("pm2_5")).alias("hourly"))
+    return requests, manifest.hourly_variables(responses, HOURLY_AIR)
+
+
+@query("attach_results_dated")
+def attach_results_dated(spark, sf_dir):
+    """Each response goes to the request of its city and day; cities repeat over the days."""
+    return manifest.attach_results(*_dated(spark, sf_dir)).select(
+        "city_id", "start_date", "city_name", F.size("pm2_5").alias("n_hours"), F.array_max("pm2_5").alias("worst_pm25")
+    )
+
+
+@query("fetch_failures_dated")
+def fetch_failures_dated(spark, sf_dir):
+    return manifest.failed_fetches(*_dated(spark, sf_dir))
+
+
 @query("first_geocode")
 def first_geocode(spark, sf_dir):
     customers = fx.table(spark, sf_dir, "customer")
@@ -393,8 +450,7 @@ def load_overlapping(spark, sf_dir):
     processed = _processed_scan(spark, sf_dir)
     for part in ("city_id % 2 = 0", "city_id % 2 = 1", "city_id % 3 = 0"):
         warehouse.load_fact("fact_air_quality", processed.filter(part))
-    log = spark.read.parquet(warehouse.path("id_log")).filter("table_name = 'fact_air_quality'")
-    last = log.agg(F.max("last_id")).scalar()
+    last = warehouse.last_id("fact_air_quality")
     return warehouse.read("fact_air_quality").agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.count_distinct("aq_id").alias("n_ids"),
@@ -402,6 +458,18 @@ def load_overlapping(spark, sf_dir):
     )
 
 
+@query("load_report")
+def load_report(spark, sf_dir):
+    """What a load reports, cells that it stores more than once included."""
+    warehouse = _warehouse(spark, sf_dir)
+    processed = _processed_scan(spark, sf_dir)
+    spoilt = processed.selectExpr("* EXCEPT (reject)", "IF(event_type = 'error' AND hour < 12, 'spoilt', reject) AS reject")
+    path = scratch_path(spark, "spoilt")
+    spoilt.write.parquet(path)
+    report = warehouse.load_fact("fact_air_quality", spark.read.parquet(path))
+    return spark.createDataFrame(list(report.items()), "outcome string, n bigint")
+
+
 def _first_year(spark: SparkSession) -> DataFrame:
     return fx.dim_date(spark).filter(F.col("year") == fx.YEARS[0])
 
@@ -652,3 +720,40 @@ def job_incremental(spark, sf_dir):
             incremental_facts(warehouse, zones, checkpoint)
 
     return _job(spark, sf_dir, load_twice)
+
+
+def _recrawled(spark: SparkSession, sf_dir: str) -> tuple[Zones, list[date]]:
+    """Air-quality documents, a drop for each block of event ids, so that drops share city-dates; and
+    files with other values that landed later, of a third of the cities, in the same drops."""
+    zones = _zones(spark, sf_dir)
+    drop = F.expr(f"date_add(DATE'{fx.FIRST_DAY}', CAST(batch AS INT))")
+    documents = fx.air_documents(spark, sf_dir).withColumn("run_date", drop).drop("batch")
+    landing.write_drop(documents, f"{zones.landing}/aq")
+    again = documents.filter("city_id % 3 = 0").withColumn("pm2_5", F.transform("pm2_5", lambda v: v + 1.0))
+    again.write.mode("append").option("ignoreNullFields", "false").partitionBy("run_date").json(f"{zones.landing}/aq")
+    drops = [date.fromisoformat(n.removeprefix("run_date=")) for n in storage.names(spark, f"{zones.landing}/aq")]
+    return zones, drops
+
+
+@query("load_groupings")
+def load_groupings(spark, sf_dir):
+    """The same files loaded at once, drop by drop from the newest on, and as they land: the newest version counts."""
+    zones, drops = _recrawled(spark, sf_dir)
+
+    def by_drop(warehouse: Warehouse, zones: Zones) -> None:
+        for drop in reversed(drops):
+            daily_facts(warehouse, zones, run_date=drop)
+
+    groupings = {
+        "at once": daily_facts,
+        "newest drop first": by_drop,
+        "as they land": lambda warehouse, zones: incremental_facts(warehouse, zones, scratch_path(spark, "offsets")),
+    }
+    found = []
+    for name, load_facts in groupings.items():
+        own = Zones(zones.landing, scratch_path(spark, "processed"))
+        warehouse = _warehouse(spark, sf_dir)
+        load_facts(warehouse, own)
+        view = warehouse.star("fact_air_quality").view()
+        found.append(view.select(F.lit(name).alias("grouping_name"), "city_name", "full_date", "hour", "pm25", "aqi"))
+    return found[0].union(found[1]).union(found[2])

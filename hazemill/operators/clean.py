@@ -14,6 +14,7 @@ from hazemill.schemas import AIR_MEASURES, AIR_NAMES, PROCESSED, WEATHER_MEASURE
 
 COUNTRY = "Việt Nam"
 RAGGED = "arrays of different lengths"
+NO_TIME = "unreadable time"
 NO_INDEX = "no pollutant has a sub-index"
 
 
@@ -33,8 +34,20 @@ def impute_zero(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def conform(df: DataFrame, schema: StructType) -> DataFrame:
-    """The columns of ``schema``, in order and cast to its types; a cast that loses a value fails."""
-    return df.selectExpr(*(f"CAST({f.name} AS {f.dataType.simpleString()}) AS {f.name}" for f in schema.fields))
+    """The columns of ``schema``, in order and cast to its types; a cast that loses a value fails.
+
+    Codes are text in the warehouse: a whole number is written without a fraction, 180.0 as '180',
+    any other as it is, '180.5'.
+    """
+    kinds = dict(df.dtypes)
+    casts = []
+    for f in schema.fields:
+        kind = f.dataType.simpleString()
+        cast = f"CAST({f.name} AS {kind})"
+        if kind == "string" and kinds.get(f.name) == "double":
+            cast = f"CASE WHEN {f.name} = rint({f.name}) AND abs({f.name}) < 1e15D THEN CAST(CAST({f.name} AS BIGINT) AS STRING) ELSE {cast} END"
+        casts.append(f"{cast} AS {f.name}")
+    return df.selectExpr(*casts)
 
 
 def explode_hourly(documents: DataFrame, measures: Sequence[str], strict: bool = False) -> DataFrame:
@@ -42,7 +55,8 @@ def explode_hourly(documents: DataFrame, measures: Sequence[str], strict: bool =
 
     An absent or empty array counts as one empty position, so a document whose arrays are
     all empty gives one row without measures. A document with other differences in length
-    gives one row with ``reject`` set, or an error with ``strict``.
+    gives one row with ``reject`` set, or an error with ``strict``. Rows of a document with an
+    ``unreadable`` field are rejected for that.
     """
     arrays = [*measures, "time"]
     kinds = {f.name: f.dataType for f in documents.schema.fields}
@@ -55,15 +69,21 @@ def explode_hourly(documents: DataFrame, measures: Sequence[str], strict: bool =
     if strict:
         rows = rows.otherwise(F.raise_error(F.lit(RAGGED)))
     others = [c for c in documents.columns if c not in arrays]
-    reject = F.when(~even, F.lit(RAGGED)).alias("reject")
-    return present.select(*others, reject, rows.alias("_rows")).select(
+    reject = F.when(~even, F.lit(RAGGED))
+    if "unreadable" in documents.columns:
+        reject = F.coalesce(F.concat(F.lit("unreadable "), "unreadable"), reject)
+    return present.select(*others, reject.alias("reject"), rows.alias("_rows")).select(
         *others, "reject", F.inline_outer("_rows")
     )
 
 
 def with_date_and_hour(df: DataFrame, strict: bool = False) -> DataFrame:
+    """Add ``date`` and ``hour``; where a time cannot be read, ``reject`` (if present) says so."""
     moment = wall_clock("time", strict)
-    return df.withColumns({"date": F.to_date(moment), "hour": F.hour(moment)})
+    dated = {"date": F.to_date(moment), "hour": F.hour(moment)}
+    if "reject" in df.columns:
+        dated["reject"] = F.coalesce("reject", F.when(F.col("time").isNotNull() & moment.isNull(), F.lit(NO_TIME)))
+    return df.withColumns(dated)
 
 
 def _in_schema(df: DataFrame, domain: str, extra: Sequence[str] = ()) -> DataFrame:
@@ -117,12 +137,19 @@ def with_aqi(df: DataFrame, strict: bool = False) -> DataFrame:
 
 
 def clean_city(raw: DataFrame, strict: bool = False) -> DataFrame:
-    """Distinct complete cities. A coordinate that is no number drops the row, or fails with ``strict``."""
+    """Distinct complete cities. A coordinate that is no number drops the row, or fails with ``strict``.
+
+    Landed cities keep the newest file they are in (``file_time``, ``file``) and their place in it (``source``).
+    """
     lat, lon = (F.col(c).cast("double") if strict else F.col(c).try_cast("double") for c in ("lat", "lon"))
     named = raw.withColumn("city_name", F.col("name")).withColumns({"lat": lat, "lon": lon})
     keys = ["city_id", "city_name", "lat", "lon"]
     complete = named.dropna("any", subset=keys)
-    # Only key columns are left, so copies are equal; ``source`` says which one stood first.
-    first = [F.min("source").alias("source")] if "source" in raw.columns else []
-    distinct = complete.groupBy(*keys).agg(*first) if first else complete.select(*keys).dropDuplicates()
+    # Only key columns are left, so copies are equal.
+    distinct = complete.select(*keys).dropDuplicates()
+    if "source" in raw.columns:
+        version = [c for c in ("file_time", "file") if c in raw.columns]
+        per_file = complete.groupBy(*keys, *version).agg(F.min("source").alias("source"))
+        newest = F.max_by(F.struct(*version, "source"), F.struct(F.lit(0), *version)).alias("newest")
+        distinct = per_file.groupBy(*keys).agg(newest).select(*keys, "newest.*")
     return distinct.withColumn("country", F.lit(COUNTRY))

@@ -6,10 +6,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from hazemill.operators.clean import conform, dedup_first
 from hazemill.schemas import FACT_IDS, TABLES
-from hazemill.session import scratch_path
+from hazemill.session import kept
 
 
 def insert_if_absent(
@@ -40,10 +41,7 @@ def file_spans(table: DataFrame) -> DataFrame:
     Stored in the shared folder, one row per file, so that Spark knows its size when it plans.
     """
     file = F.col("_metadata.file_path")
-    spans = table.groupBy(file.alias("_file")).agg((F.max("_metadata.row_index") + 1).alias("_rows"))
-    path = scratch_path(table.sparkSession, "spans")
-    spans.write.parquet(path)
-    return table.sparkSession.read.schema(spans.schema).parquet(path)
+    return kept(table.groupBy(file.alias("_file")).agg((F.max("_metadata.row_index") + 1).alias("_rows")), "spans")
 
 
 def with_fact_ids(table: DataFrame, id_column: str, first_id: int, spans: DataFrame | None = None) -> DataFrame:
@@ -75,8 +73,13 @@ def locate(processed: DataFrame, dim_date: DataFrame, dim_time: DataFrame) -> Da
 
 
 def fact_rows(
-    table: str, processed: DataFrame, dim_date: DataFrame, dim_time: DataFrame, id_column: str | None = None
+    table: str,
+    processed: DataFrame,
+    dim_date: DataFrame,
+    dim_time: DataFrame,
+    id_column: str | None = None,
+    schema: StructType | None = None,
 ) -> DataFrame:
     """Rows of a fact table from processed rows that carry their id in ``id_column``."""
     located = locate(processed, dim_date, dim_time)
-    return conform(located.withColumn(FACT_IDS[table], F.col(id_column or FACT_IDS[table])), TABLES[table])
+    return conform(located.withColumn(FACT_IDS[table], F.col(id_column or FACT_IDS[table])), schema or TABLES[table])

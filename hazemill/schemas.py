@@ -13,6 +13,7 @@ from pyspark.sql.types import (
     StringType,
     StructField,
     StructType,
+    TimestampType,
 )
 
 INT, LONG, DOUBLE, STRING, DATE = IntegerType(), LongType(), DoubleType(), StringType(), DateType()
@@ -54,16 +55,16 @@ WEATHER_MEASURES = (
 )
 AIR_MEASURES = ("co", "co2", "no2", "so2", "o3", "pm10", "pm25")
 
-_DOUBLES, _LONGS, _STRINGS = ArrayType(DOUBLE), ArrayType(LONG), ArrayType(STRING)
+_DOUBLES, _STRINGS = ArrayType(DOUBLE), ArrayType(STRING)
 
 HOURLY_WEATHER = _struct(
     temperature_2m=_DOUBLES,
     relative_humidity_2m=_DOUBLES,
     dew_point_2m=_DOUBLES,
     wind_speed_10m=_DOUBLES,
-    wind_direction_10m=_LONGS,
+    wind_direction_10m=_DOUBLES,
     precipitation=_DOUBLES,
-    weather_code=_LONGS,
+    weather_code=_DOUBLES,
     apparent_temperature=_DOUBLES,
     rain=_DOUBLES,
     cloud_cover_low=_DOUBLES,
@@ -87,7 +88,11 @@ RAW_AIR = StructType(HOURLY_AIR.fields + _CITY_TAG)
 RAW_CITY = _struct(city_id=LONG, name=STRING, lat=STRING, lon=STRING)
 RAW = {"weather": RAW_WEATHER, "aq": RAW_AIR, "city": RAW_CITY}
 
-# ``run_date`` names the drop; ``reject`` says why a row must not be loaded (null for good rows).
+# The version of a city's date is its drop, then the time and the path of the landed file: the
+# greatest counts. Facts are stored with it.
+VERSION = _struct(run_date=DATE, file_time=TimestampType(), file=STRING)
+
+# ``reject`` says why a row must not be loaded (null for good rows).
 PROCESSED_WEATHER = _struct(
     city_id=LONG,
     city_name=STRING,
@@ -97,14 +102,16 @@ PROCESSED_WEATHER = _struct(
     temperature=DOUBLE,
     humidity=DOUBLE,
     wind_speed=DOUBLE,
-    weather_code=LONG,
+    weather_code=DOUBLE,
     precipitation=DOUBLE,
     cloud_cover=DOUBLE,
     rain=DOUBLE,
-    wind_direction=LONG,
+    wind_direction=DOUBLE,
     apparent_temperature=DOUBLE,
     dew_point=_DOUBLES,
     reject=STRING,
+    file_time=TimestampType(),
+    file=STRING,
     run_date=DATE,
 )
 PROCESSED_AIR = _struct(
@@ -123,6 +130,8 @@ PROCESSED_AIR = _struct(
     co_mg=DOUBLE,
     aqi=INT,
     reject=STRING,
+    file_time=TimestampType(),
+    file=STRING,
     run_date=DATE,
 )
 PROCESSED_CITY = _struct(city_id=LONG, city_name=STRING, lat=DOUBLE, lon=DOUBLE, country=STRING)
@@ -180,3 +189,5 @@ TABLES = {
     "fact_air_quality": FACT_AIR,
 }
 FACT_IDS = {"fact_weather": "weather_id", "fact_air_quality": "aq_id"}
+# As they are stored: facts with their version, which readers of the table do not see.
+STORED = {name: StructType([*schema.fields, *(VERSION.fields if name in FACT_IDS else [])]) for name, schema in TABLES.items()}

@@ -3,9 +3,14 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+from hazemill import storage
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -44,6 +49,36 @@ def shared_dir(spark: SparkSession) -> str:
     return configured.rstrip("/")
 
 
+#: Paths of the innermost open scope of each thread.
+_SCOPE = threading.local()
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path no earlier run has written to, in the shared folder."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    if getattr(_SCOPE, "paths", None) is not None:
+        _SCOPE.paths.append(path)
+    return path
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Intermediate tables made inside are removed at the end, also after an error.
+
+    For steps that finish their work inside; a DataFrame that outlives the scope must not read
+    such a table. Scopes may be nested.
+    """
+    outer, _SCOPE.paths = getattr(_SCOPE, "paths", None), []
+    try:
+        yield
+    finally:
+        made, _SCOPE.paths = _SCOPE.paths, outer
+        for path in made:
+            storage.remove(spark, path)
+
+
+def kept(df: DataFrame, name: str) -> DataFrame:
+    """The rows written to the shared folder and read back: lineage is cut, their size is known."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -57,7 +57,7 @@ def test_one_row_per_hour(spark):
 
 
 def test_missing_element_counts_as_zero(spark):
-    found = clean_weather(documents(spark, RAW_WEATHER, weather(0, hours=2, weather_code=[None, 3]))).collect()
+    found = clean_weather(documents(spark, RAW_WEATHER, weather(0, hours=2, weather_code=[None, 3.0]))).collect()
     assert sorted(r["weather_code"] for r in found) == [0, 3]
 
 

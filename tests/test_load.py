@@ -1,4 +1,4 @@
-from datetime import date
+from datetime import date, datetime
 
 import pytest
 from pyspark.sql import functions as F
@@ -7,7 +7,9 @@ from hazemill.operators import constraints, load
 from hazemill.operators.constraints import ConstraintError
 from hazemill.schemas import TABLES
 from hazemill.sources import calendar
-from hazemill.warehouse import Warehouse
+from hazemill import storage
+from hazemill.session import scratch, scratch_path, shared_dir
+from hazemill.warehouse import COUNTS, Warehouse
 from tests.conftest import final_plan, rows
 
 DAY, NEXT = date(2024, 1, 1), date(2024, 1, 2)
@@ -26,6 +28,10 @@ def reading(city_id=1, day=DAY, hour=0, aqi=10, reject=None, pm25=1.0):
     return (city_id, day, hour, aqi, pm25, 1.0, 1.0, 1.0, 1.0, 1.0, 1.0, reject)
 
 
+def report(**counts):
+    return dict.fromkeys(COUNTS, 0) | counts
+
+
 @pytest.fixture
 def warehouse(spark, tmp_path):
     warehouse = Warehouse(spark, str(tmp_path / "warehouse"))
@@ -101,7 +107,7 @@ def test_dimension_constraints(spark, warehouse):
 
 def test_load_and_rerun(spark, warehouse, tmp_path):
     batch = scan(spark, tmp_path, "p", *(reading(hour=h) for h in range(24)), files=3)
-    assert warehouse.load_fact("fact_air_quality", batch) == {"read": 24, "rejected": 0, "unmatched": 0, "loaded": 24}
+    assert warehouse.load_fact("fact_air_quality", batch) == report(read=24, loaded=24)
     warehouse.load_fact("fact_air_quality", batch)
     facts = warehouse.read("fact_air_quality")
     assert facts.count() == 24
@@ -121,8 +127,7 @@ def test_filtered_loads_never_share_ids(spark, warehouse, tmp_path):
     warehouse.load_fact("fact_air_quality", table.filter(F.col("date") == days[1]), mode="append")
     facts = warehouse.read("fact_air_quality")
     assert facts.count() == facts.select("aq_id").distinct().count() == 96
-    log = spark.read.parquet(warehouse.path("id_log")).agg(F.max("last_id")).first()[0]
-    assert facts.agg(F.max("aq_id")).first()[0] <= log
+    assert facts.agg(F.max("aq_id")).first()[0] <= warehouse.last_id("fact_air_quality")
 
 
 def test_replace_keeps_other_cities_of_a_date(spark, warehouse, tmp_path):
@@ -151,8 +156,7 @@ def test_rows_that_are_not_loaded_are_counted(spark, warehouse, tmp_path):
         reading(city_id=99, day=None),
         reading(day=date(2030, 1, 1)),
     )
-    report = warehouse.load_fact("fact_air_quality", batch)
-    assert report == {"read": 4, "rejected": 1, "unmatched": 2, "loaded": 1}
+    assert warehouse.load_fact("fact_air_quality", batch) == report(read=4, rejected=1, unmatched=2, loaded=1)
     assert warehouse.read("fact_air_quality").count() == 1
 
 
@@ -166,6 +170,98 @@ def test_violations_stop_a_load_before_it_writes(spark, warehouse, tmp_path):
     assert warehouse.read("fact_air_quality").count() == 0
 
 
+VERSIONED = AIR + ", run_date date, file_time timestamp, file string"
+
+
+def version(day, hour, path):
+    return (day, datetime(2024, 6, 1, hour), path)
+
+
+def versioned(spark, tmp_path, name, *readings):
+    path = str(tmp_path / name)
+    spark.createDataFrame(list(readings), VERSIONED).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+# Ever newer: by drop, then by time of the file, then by its path.
+VERSIONS = [version(DAY, 5, "z"), version(NEXT, 1, "a"), version(NEXT, 2, "a"), version(NEXT, 2, "b")]
+
+
+@pytest.mark.parametrize("order", [(0, 1, 2, 3), (3, 2, 1, 0), (2, 0, 3, 1), None])
+def test_the_newest_version_counts_in_any_order(spark, warehouse, tmp_path, order):
+    loads = [[reading(hour=h, aqi=100 + i) + v for h in range(24)] for i, v in enumerate(VERSIONS)]
+    loads[1] += [reading(city_id=2, hour=h, aqi=7) + VERSIONS[1] for h in range(24)]
+    if order is None:
+        found = warehouse.load_fact("fact_air_quality", versioned(spark, tmp_path, "all", *sum(loads, [])))
+        assert found == report(read=120, superseded=72, loaded=48)
+    for i in order or ():
+        warehouse.load_fact("fact_air_quality", versioned(spark, tmp_path, f"p{i}", *loads[i]))
+    facts = warehouse.read("fact_air_quality")
+    assert rows(facts.groupBy("city_id", "aqi").count()) == [(1, 103.0, 24), (2, 7.0, 24)]
+    assert facts.select("aq_id").distinct().count() == 48
+    assert facts.schema.simpleString() == TABLES["fact_air_quality"].simpleString()
+
+
+def test_a_rejected_version_replaces_nothing(spark, warehouse, tmp_path):
+    warehouse.load_fact("fact_air_quality", versioned(spark, tmp_path, "a", reading(aqi=5) + VERSIONS[0]))
+    newer = versioned(spark, tmp_path, "b", reading(aqi=6, reject="spoilt") + VERSIONS[1])
+    assert warehouse.load_fact("fact_air_quality", newer) == report(read=1, rejected=1)
+    older = versioned(spark, tmp_path, "c", *(reading(aqi=a) + v for a, v in ((8, VERSIONS[0]), (9, VERSIONS[2]))))
+    assert warehouse.load_fact("fact_air_quality", older) == report(read=2, superseded=1, loaded=1)
+    assert rows(warehouse.read("fact_air_quality").select("aqi")) == [(9.0,)]
+
+
+def test_versions_without_rows_of_their_own_are_lowest(spark, warehouse, tmp_path):
+    warehouse.load_fact("fact_air_quality", versioned(spark, tmp_path, "a", reading(aqi=5) + VERSIONS[0]))
+    assert warehouse.load_fact("fact_air_quality", scan(spark, tmp_path, "b", reading(aqi=6))) == report(read=1, superseded=1)
+    assert warehouse.load_fact("fact_air_quality", scan(spark, tmp_path, "c", reading(aqi=6)), mode="append") == report(read=1, loaded=1)
+    assert rows(warehouse.read("fact_air_quality").select("aqi")) == [(5.0,), (6.0,)]
+
+
+def test_repeated_cells_are_counted(spark, warehouse, tmp_path):
+    hours = [0, 0, 0, 23, 23, 5]
+    batch = scan(spark, tmp_path, "p", *(reading(hour=h) for h in hours), reading(day=NEXT), reading(city_id=2), reading(hour=5, reject="x"), files=3)
+    assert warehouse.load_fact("fact_air_quality", batch) == report(read=9, rejected=1, repeated=3, loaded=8)
+
+
+def test_the_id_log_stays_one_entry_per_table(spark, warehouse, tmp_path):
+    folder = f"{warehouse.path('id_log')}/fact_air_quality"
+    first = [warehouse._reserve_ids("fact_air_quality", 10) for _ in range(1000)]
+    assert first == list(range(1, 10_001, 10)) and warehouse.last_id("fact_air_quality") == 10_000
+    assert len(storage.names(spark, folder)) == 1
+    assert warehouse.last_id("fact_weather") == 0
+    # A load that died between its entry and the removal of the older one.
+    storage.mark(spark, f"{folder}/{10_005:020d}")
+    assert warehouse._reserve_ids("fact_air_quality", 1) == 10_006
+    assert len(storage.names(spark, folder)) == 1
+
+
+def test_a_load_leaves_nothing_in_the_shared_folder(spark, warehouse, tmp_path):
+    before = set(storage.names(spark, shared_dir(spark)))
+    warehouse.load_fact("fact_air_quality", scan(spark, tmp_path, "a", reading()))
+    warehouse.add_to_dimension("dim_city", cities(spark, (3, "Hội An")))
+    with pytest.raises(ConstraintError):
+        warehouse.load_fact("fact_air_quality", scan(spark, tmp_path, "b", reading(city_id=99)))
+    assert set(storage.names(spark, shared_dir(spark))) == before
+
+
+def test_scratch_scopes_nest(spark):
+    def exists(path):
+        return path.rpartition("/")[2] in storage.names(spark, shared_dir(spark))
+
+    paths = []
+    with scratch(spark):
+        paths.append(scratch_path(spark, "outer"))
+        spark.range(3).write.parquet(paths[0])
+        with scratch(spark):
+            paths.append(scratch_path(spark, "inner"))
+            spark.range(3).write.parquet(paths[1])
+        assert [exists(p) for p in paths] == [True, False]
+    kept_path = scratch_path(spark, "kept")
+    spark.range(3).write.parquet(kept_path)
+    assert [exists(p) for p in (*paths, kept_path)] == [False, False, True]
+
+
 def test_reset_does_not_reuse_ids(spark, warehouse, tmp_path):
     batch = scan(spark, tmp_path, "p", reading(), reading(hour=1))
     warehouse.load_fact("fact_air_quality", batch)
