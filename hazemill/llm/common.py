@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import io
+import math
 import re
 import zipfile
 from collections.abc import Callable, Iterator
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
@@ -35,6 +37,41 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Bits of a filter per key, and at most; a full one lets other keys pass too.
+FILTER_BITS, MOST_BITS = 16, 1 << 28
+
+
+def key_filter(keys: DataFrame) -> Callable[[np.ndarray], np.ndarray] | None:
+    """Whether a task's keys may be among ``keys`` (key: bigint, well mixed); None where there are none.
+
+    A table of bits for all executors, of at most ``MOST_BITS``: it never misses a key, and lets
+    few others pass; what passes is joined with ``keys`` afterwards.
+    """
+    spark = keys.sparkSession
+    count = keys.count()
+    if not count:
+        return None
+    bits = max(1 << 15, min(MOST_BITS, 1 << (FILTER_BITS * count).bit_length()))
+    place = F.pmod("key", F.lit(bits)) + 1
+    parts = keys.groupBy(F.bitmap_bucket_number(place).alias("part")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits"))
+    table = np.zeros(bits // 8, np.uint8)
+    for r in parts.collect():
+        low = (r["part"] - 1) * 4096
+        table[low : low + 4096] = np.frombuffer(r["bits"], np.uint8)
+    shared = spark.sparkContext.broadcast(table)
+
+    def passes(key: np.ndarray) -> np.ndarray:
+        at = key % bits
+        return (shared.value[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
+
+    return passes
+
+
+def part_bytes(total: int) -> int:
+    """Bytes of a part of ``total``: parts grow in number and in size, from 4 MB to 1 GB."""
+    return min(max(math.isqrt(total << 20), 4 << 20), 1 << 30)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -8,7 +8,7 @@ is a third of all versions moves once per task.
 
 Nulls are empty texts; repeated rows are versions of their own and share a blob; extra columns
 are ignored; an empty table gives an empty result. Spans are code points, end exclusive. Long
-texts are scanned whole.
+texts are scanned whole, and redacted in time linear in their length and findings.
 """
 
 from __future__ import annotations
@@ -18,11 +18,12 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazemill.llm.common import Batches, in_tasks
+from hazemill.llm.common import Batches, in_tasks, key_filter, stored
 
 LEDGER = "blob binary, rule string, spans array<struct<start: bigint, end: bigint>>"
 
@@ -89,16 +90,27 @@ def scan_unseen(versions: DataFrame, ledger: str, rules: tuple[Rule, ...] = RULE
     """
     spark = versions.sparkSession
     keys = [rule.key for rule in rules]
-    blobs = _addressed(versions).groupBy("blob").agg(F.any_value("content").alias("content"))
     known = _ledger(spark, ledger)
-    todo = F.array(*map(F.lit, keys))
+    every = F.array(*map(F.lit, keys))
     if known is None:
-        blobs = blobs.withColumn("todo", todo)
+        blobs = _addressed(versions).groupBy("blob").agg(F.any_value("content").alias("content")).withColumn("todo", every)
     else:
+        # Names first: only the texts of blobs with something left to scan are moved.
         seen = known.filter(F.col("rule").isin(keys)).groupBy("blob").agg(F.collect_set("rule").alias("seen"))
-        blobs = blobs.join(seen, "blob", "left")
-        blobs = blobs.withColumn("todo", F.when(F.col("seen").isNull(), todo).otherwise(F.array_except(todo, "seen")))
-        blobs = blobs.filter(F.size("todo") > 0)
+        left = F.when(F.col("seen").isNull(), every).otherwise(F.array_except(every, "seen"))
+        todo = _addressed(versions).select("blob").distinct().join(seen, "blob", "left").select("blob", left.alias("todo"))
+        todo = stored(todo.filter(F.size("todo") > 0), "unseen_blobs")
+        name = F.xxhash64("blob")
+        passes = key_filter(todo.select(name.alias("key")))
+        if passes is None:
+            return
+
+        def pick(batches: Batches) -> Batches:
+            for batch in batches:
+                yield batch.filter(pa.array(passes(batch.column(2).to_numpy())))
+
+        some = in_tasks(_addressed(versions).select("blob", "content", name.alias("key")), pick, "blob binary, content string, key bigint")
+        blobs = some.join(todo, "blob").groupBy("blob").agg(F.any_value("content").alias("content"), F.any_value("todo").alias("todo"))
 
     def scan(batches: Batches) -> Batches:
         for batch in batches:
@@ -147,22 +159,31 @@ def scan_digests(documents: DataFrame, ledger: str) -> DataFrame:
     return found.select(F.col("doc_id").cast("bigint"), *counts, F.sha2(text.cast("binary"), 256).alias("base_sha256"), text.alias("spans"))
 
 
+def _cut(text: str, found: list[dict]) -> str:
+    """``text`` with its spans replaced; one that begins within the last only extends it."""
+    parts, at = [], 0
+    for x in found:
+        if x["start"] >= at:
+            parts += [text[at : x["start"]], f"[{x['kind']}]"]
+        at = max(at, x["end"])
+    return "".join([*parts, text[at:]])
+
+
 def redacted(documents: DataFrame, ledger: str) -> DataFrame:
     """``documents`` with all their columns and each secret in ``text`` replaced by its kind in brackets."""
-    columns = documents.columns
     scan_unseen(documents, ledger)
-    rows = documents.select(F.struct("*").alias("row"), "text")
-    found = findings(rows, ledger, carry=("row",))
-    text = F.col("row.text")
-    state = F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("out"))
-
-    def step(s: Column, x: Column) -> Column:
-        before = F.substring(text, (s["at"] + 1).cast("int"), (x["start"] - s["at"]).cast("int"))
-        mark = F.concat(F.lit("["), x["kind"], F.lit("]"))
-        # A span that begins within the last one only extends it.
-        out = F.when(x["start"] >= s["at"], F.concat(s["out"], before, mark)).otherwise(s["out"])
-        return F.struct(F.greatest(s["at"], x["end"]).alias("at"), out.alias("out"))
-
-    done = F.aggregate("found", state, step, lambda s: F.concat(s["out"], F.substring(text, (s["at"] + 1).cast("int"), F.length(text))))
-    clean = F.when(F.size("found") == 0, text).otherwise(done)
-    return found.select(*((clean if c == "text" else F.col("row")[c]).alias(c) for c in columns))
+    found = findings(documents.select(F.struct("*").alias("row"), "text"), ledger, carry=("row",))
+    columns = documents.columns
+
+    def replace(batches: Batches) -> Batches:
+        for batch in batches:
+            fields = dict(zip(columns, batch.column(0).flatten(), strict=True))
+            spoilt = [i for i, x in enumerate(pc.list_value_length(batch.column(1)).to_pylist()) if x]
+            if spoilt:
+                texts = fields["text"].to_pylist()
+                for i in spoilt:
+                    texts[i] = _cut(texts[i], batch.column(1)[i].as_py())
+                fields["text"] = pa.array(texts, fields["text"].type)
+            yield pa.RecordBatch.from_arrays(list(fields.values()), names=columns)
+
+    return in_tasks(found.select("row", "found"), replace, documents.schema)

@@ -8,8 +8,9 @@ per level, checks the fingerprint and reads one record.
 
 Null doc_ids come first and share one key; null texts are empty; rows that repeat a doc_id are
 consecutive records of one key; an empty table gives a store without shards; extra columns are
-ignored. Shards and index parts grow in number with the table, not in size. A file is written
-under a name of its own and then renamed, so a task that runs again replaces it by its equal.
+ignored. Texts are encoded whole, however long. Index parts grow in number with the table, not in
+size; shards in number and, up to 1 GB of text, in size: a task holds one's offsets. A file is
+written under a name of its own and then renamed, so a task that runs again replaces it by its equal.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazemill.llm.common import Batches, file_system, in_tasks, shuffle_partitions, stored
+from hazemill.llm.common import Batches, file_system, in_tasks, part_bytes, shuffle_partitions, stored
 from hazemill.llm.wordbpe import word_ids
 
 #: Keys of one part of the index, on average.
@@ -88,12 +89,14 @@ def write_store(documents: DataFrame, path: str, tokenizer_file: str, end_id: in
 
     rows = documents.select(F.col("doc_id").cast("bigint"), "text")
     order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text")]
-    ordered = rows.repartitionByRange(shuffle_partitions(spark), *order).sortWithinPartitions(*order)
+    total = rows.agg(F.coalesce(F.sum(F.octet_length("text") + 1), F.lit(0))).first()[0]
+    shards = max(1, -(-total // part_bytes(total)))
+    ordered = rows.repartitionByRange(shards, *order).sortWithinPartitions(*order)
     records = stored(in_tasks(ordered, write_shard, RECORD), "records")
-    shards = records.groupBy("shard").agg(F.count(F.lit(1)).alias("n"), F.sum("n_tokens").alias("t")).collect()
-    count = max((r["shard"] for r in shards), default=-1) + 1
+    written = records.groupBy("shard").agg(F.count(F.lit(1)).alias("n"), F.sum("n_tokens").alias("t")).collect()
+    count = max((r["shard"] for r in written), default=-1) + 1
     sizes, tokens = [0] * count, [0] * count
-    for r in shards:  # one row per shard
+    for r in written:  # one row per shard
         sizes[r["shard"]], tokens[r["shard"]] = r["n"], r["t"]
     parts = max(1, -(-sum(sizes) // KEYS_PER_PART))
     first_token = np.concatenate([[0], np.cumsum(tokens)[:-1]]).astype(int).tolist() if count else []

@@ -133,7 +133,7 @@ def _moved(kept: DataFrame, entries: np.ndarray, greatest: int, width: int) -> n
         sums = np.zeros(entries_shape, object if books.dtype == object else np.int64)
         counts = np.zeros(entries_shape[:2], np.int64)
         for batch in batches:
-            parts = integers(batch.column(0), width).reshape(-1, PARTS, length)
+            parts = integers(batch.column(0), width).reshape(batch.num_rows, PARTS, length)
             for k in range(PARTS):
                 index, _ = books.nearest(k, parts[:, k])
                 np.add.at(sums[k], index, parts[:, k])
@@ -184,7 +184,7 @@ def encode_vectors(kept: DataFrame, entries: np.ndarray, width: int, greatest: i
     def encode(batches: Batches) -> Batches:
         books = Codebooks(shared.value, greatest)
         for batch in batches:
-            parts = integers(batch.column(2), width).reshape(-1, PARTS, length)
+            parts = integers(batch.column(2), width).reshape(batch.num_rows, PARTS, length)
             found = [books.nearest(k, parts[:, k]) for k in range(PARTS)]
             codes = np.stack([f[0] for f in found], axis=1).astype(np.uint8)
             errors = [min(e, MOST) for e in sum(f[1].astype(object) for f in found).tolist()]

@@ -24,7 +24,6 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import math
 import re
 import uuid
 import zlib
@@ -36,10 +35,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazemill.llm.common import Batches, file_system, in_tasks, stored
+from hazemill.llm.common import Batches, file_system, in_tasks, part_bytes, stored
 
-#: Compressed bytes of a file; payload bytes of a shard, at least and at most.
-FILE_BYTES, LEAST_SHARD, MOST_SHARD = 256 << 20, 4 << 20, 1 << 30
+#: Compressed bytes of a file.
+FILE_BYTES = 256 << 20
 #: Rows that set the edges, for each shard.
 SAMPLED = 64
 #: Bytes read from a file at once, payload bytes of a batch.
@@ -57,11 +56,6 @@ def base32(digest: bytes) -> str:
     return base64.b32encode(digest).decode()
 
 
-def shard_bytes(total: int) -> int:
-    """Payload bytes of a shard: shards grow in number and in size with the table."""
-    return min(max(math.isqrt(total << 20), LEAST_SHARD), MOST_SHARD)
-
-
 @dataclass(frozen=True)
 class Record:
     page_id: int | None
@@ -181,7 +175,7 @@ def _decisions(keyed: DataFrame, min_bytes: int) -> DataFrame:
 def _edges(keyed: DataFrame) -> list[tuple[int, int]]:
     """Keys at which the shards after the first begin; at most ``SAMPLED`` rows a shard reach the driver."""
     n, total = keyed.agg(F.count(F.lit(1)), F.coalesce(F.sum("size"), F.lit(0))).first()
-    shards = -(-total // shard_bytes(total)) if total else 1
+    shards = -(-total // part_bytes(total)) if total else 1
     every = max(1, n // (SAMPLED * shards))
     chosen = F.expr(f"pmod(xxhash64(page_id, hash, 7), {every}) = 0")
     by_key = keyed.filter(chosen & F.col("page_id").isNotNull()).groupBy("page_id", "hash").agg(F.sum(F.col("size") + 1).alias("size"))

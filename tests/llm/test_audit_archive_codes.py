@@ -167,8 +167,7 @@ def test_archive(spark, least):
 
 
 def test_archive_is_rolled_sorted_and_deterministic(spark, monkeypatch):
-    monkeypatch.setattr(warc, "LEAST_SHARD", 20_000)
-    monkeypatch.setattr(warc, "shard_bytes", lambda total: 20_000)
+    monkeypatch.setattr(warc, "part_bytes", lambda total: 20_000)
     rng = np.random.default_rng(4)
     data = [(i * 7 % 400, f"http://h.example/{i}", rng.bytes(150).hex()) for i in range(400)]
     kept = []
