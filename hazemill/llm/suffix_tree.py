@@ -1,213 +1,278 @@
-"""Probabilistic suffix tree language model, and the unigram score beside it.
-
-Symbols are bytes: of the words in lower case (A-Z), a space after each word, and a line feed
-that ends a text. The tree's contexts are the up to five bytes before a symbol. A context is
-a candidate if it makes up at least ``min_share`` of all symbols; it is retained if its
-next-symbol distribution diverges from its parent's (one byte shorter) by ``min_divergence``
-nats, and then its suffixes are too. A distribution is smoothed by its parent's: the parent
-counts as ``smoothing`` symbols more, and as those left out below ``min_symbol_share``. Scoring
-walks from the root along the bytes before a symbol to the longest retained context. A token's
-probability is the product over its symbols, mixed with ``word_weight`` parts of the token's own
-relative frequency in training, which spelling alone gives a frequent word too little of.
-
-Counts cover all training texts; Spark sums them. The tree is small whatever the corpus: at
-most 1 / min_symbol_share entries and 1 / min_share contexts a depth, so it is collected and
-broadcast. Unigram counts have no such bound. Only words of at least ``min_word_share`` of all
-tokens, at most 1 / min_word_share, are broadcast; other words of a text are joined.
+"""Probabilistic suffix tree over words, and the unigram score beside it.
+
+Symbols are a text's tokens: its words with A-Z in lower case, then one end. A context is the last
+one to ``DEPTH`` tokens, a mark for the text's start among them; its suffix, one token shorter, is its
+parent, and the root is the unigram distribution of the base score. With n the count of a context and n(x) that
+of a symbol after it, both over all training texts, a distribution is smoothed by its parent's:
+
+    P(x | s) = [n(x) >= MIN_SYMBOL] (n(x) - DISCOUNT) / n + rest(s) P(x | parent(s))
+
+where rest is the mass that is left. A context with n >= ``MIN_CONTEXT`` is tested: how much better, in nats over
+all its occurrences, it predicts each when that one is left out of its counts than the parent does (the divergence from the parent, without the
+bias of few counts). It is retained from ``MIN_GAIN`` on, and then its suffixes are too. All limits are absolute
+counts: what is learnt grows with the corpus. A text is scored from the longest retained context before each token.
+
+The logarithm of P is a sum over the path from the root: the unigram's, then for each context that is a suffix
+of the text so far log rest, and where the symbol is kept there the logarithm of its gain over that.
+So the tree is stored as a table from names of contexts and of (context, symbol) pairs to numbers
+that are added up. Its ``TOP`` most frequent names are broadcast, a filter of bits (``key_filter``)
+says which others may exist, and these are joined. Nothing else of the corpus reaches the driver.
+Names are 64-bit hashes.
 
 Null texts are empty (one end); a null doc_id counts as the empty text for the fold, so it
 trains; repeated rows train and score each; extra columns are ignored; an empty table gives an
-empty result. Long texts are read in segments that overlap by the length of a context.
+empty result. Long texts are read whole.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import math
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hazemill.llm.common import Batches, in_tasks, stored
+from hazemill.llm.common import Batches, in_tasks, key_filter, stored
 from hazemill.llm.words import split_words
 
-DEPTH = 5
-SPACE, END = b" ", b"\n"
-CHUNK, MERGE = 1 << 20, 1 << 22
-COUNTS = "gram bigint, word string, n bigint"
-SCORE_COLUMNS = ["row", "doc_id", "held_out", "n_tokens", "known", "base", "score", "rest"]
-SCORES = "row bigint, doc_id bigint, held_out boolean, n_tokens bigint, known bigint, base double, score double, rest array<struct<word: string, logp: double>>"
+#: Counted grams a task holds before it passes them on.
+HELD = 1 << 20
+GRAMS = "context bigint, symbol bigint, n bigint"
+START = np.uint64(0x5851F42D4C957F2D)
+END = np.uint64(xxhash.xxh64_intdigest(b"", 0))
+SCORES = "row bigint, doc_id bigint, held_out boolean, n_tokens bigint, known bigint, base double, extra double, names array<bigint>"
 
 
 @dataclass(frozen=True)
 class Params:
-    min_share: float = 2e-5
-    min_symbol_share: float = 1e-6
-    min_divergence: float = 0.003
-    smoothing: float = 1.0
-    min_word_share: float = 1e-6
-    word_weight: float = 0.5
+    depth: int = 2
+    min_context: int = 20
+    min_symbol: int = 3
+    discount: float = 0.75
+    min_gain: float = 3.0
+    #: Names that are broadcast, at most.
+    top: int = 1_000_000
     folds: int = 7
     held_out_fold: int = 2
 
 
+def mix(left: np.ndarray, right: np.ndarray | np.uint64) -> np.ndarray:
+    """Name of a sequence from the name of its front and its last symbol."""
+    with np.errstate(over="ignore"):
+        x = (left ^ (left >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15) + right * np.uint64(0xC2B2AE3D27D4EB4F)
+        x = (x ^ (x >> np.uint64(32))) * np.uint64(0x94D049BB133111EB)
+        return x ^ (x >> np.uint64(31))
+
+
+#: Names of the empty context, of words and of (context, symbol) pairs come from different beginnings.
+ROOT, WORD, PAIR = np.uint64(1), np.uint64(2), np.uint64(3)
+
+
+def hashed(words: list[str]) -> np.ndarray:
+    return np.array([xxhash.xxh64_intdigest(w.encode(), 0) for w in words], np.uint64)
+
+
 @dataclass(frozen=True)
-class Tree:
-    """``child[node, s]`` is the context one byte longer (0: none), ``logp`` log10 of the next symbol."""
+class Tokens:
+    """The symbols of a batch of texts side by side, each text after a start mark."""
 
     symbol: np.ndarray
-    child: np.ndarray
-    logp: np.ndarray
-
-
-def _joined(texts: pa.Array) -> tuple[list[bytes], pa.ListArray, np.ndarray]:
-    """Symbols of each text, its words (one empty word for none) and their number."""
-    lists = split_words(texts)
-    spaced = pc.binary_join(lists, pa.scalar(" ", pa.large_string())).cast(pa.large_binary()).to_pylist()
-    counts = np.diff(lists.offsets.to_numpy()) - np.array([not x for x in spaced], np.int64)
-    return [x + SPACE + END if x else END for x in spaced], lists, counts
-
-
-def _streams(symbols: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(bytes, positions to predict, their text): each text after DEPTH ends, in chunks."""
-    held: list[bytes] = []
-    of: list[tuple[int, int]] = []
-    size = 0
-
-    def chunk() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        data = np.frombuffer(b"".join(held), np.uint8)
-        sizes = np.array([n for _, n in of], np.int64)
-        first = np.cumsum(sizes + DEPTH) - sizes
-        place = np.arange(sizes.sum()) + np.repeat(first - (np.cumsum(sizes) - sizes), sizes)
-        return data, place, np.repeat(np.array([i for i, _ in of], np.int64), sizes)
-
-    for i, text in enumerate(symbols):
-        for low in range(0, len(text), CHUNK):
-            before = text[max(0, low - DEPTH) : low]
-            part = text[low : low + CHUNK]
-            held.append(END * (DEPTH - len(before)) + before + part)
-            of.append((i, len(part)))
-            size += len(part)
-            if size >= CHUNK:
-                yield chunk()
-                held, of, size = [], [], 0
-    if held:
-        yield chunk()
-
-
-def _summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    if not parts:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    keys, counts = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
-    order = np.argsort(keys)
-    keys, counts = keys[order], counts[order]
-    new = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
-    return keys[new], np.add.reduceat(counts, new) if len(keys) else counts
-
-
-def count_training(training: DataFrame) -> DataFrame:
-    """Counts of words and of grams (a symbol in the lowest byte, its context above) over all texts."""
+    text: np.ndarray
+    place: np.ndarray
+
+    @staticmethod
+    def of(texts: pa.Array) -> Tokens:
+        lists = split_words(texts)
+        encoded = lists.values.dictionary_encode()
+        names = hashed(encoded.dictionary.to_pylist())[encoded.indices.to_numpy()]
+        sizes = np.diff(lists.offsets.to_numpy())
+        real = names != END  # a text without words has one empty word
+        sizes = np.add.reduceat(np.append(real, False), lists.offsets.to_numpy()[:-1]) * (sizes > 0) if len(sizes) else sizes
+        names = names[real]
+        first = np.cumsum(sizes + 2) - (sizes + 2)
+        symbol = np.empty(int((sizes + 2).sum()), np.uint64)
+        text = np.repeat(np.arange(len(sizes)), sizes + 2)
+        place = np.arange(len(symbol)) - first[text]
+        marks = np.zeros(len(symbol), bool)
+        marks[first] = True
+        symbol[first] = START
+        marks[first + sizes + 1] = True
+        symbol[first + sizes + 1] = END
+        symbol[~marks] = names
+        return Tokens(symbol, text, place)
+
+    def contexts(self, depth: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each depth from 1 on: the places that have a context of it, and its name there."""
+        name, result = np.full(len(self.symbol), ROOT), []
+        for d in range(1, depth + 1):
+            longer = np.zeros(len(name), np.uint64)
+            longer[1:] = mix(name[:-1], self.symbol[:-1])
+            name = longer
+            at = np.flatnonzero(self.place >= d)
+            result.append((at, name[at]))
+        return result
+
+
+def count_words(texts: DataFrame) -> DataFrame:
+    """word ('' for the end), symbol (its hash) and n over all texts."""
 
     def count(batches: Batches) -> Batches:
-        parts: list[tuple[np.ndarray, np.ndarray]] = []
         ends = 0
         for batch in batches:
-            symbols, lists, _ = _joined(batch.column(0))
-            words = lists.values.value_counts()
-            words = words.filter(pc.not_equal(words.field("values"), ""))
-            found = words.field("values").cast(pa.string()), words.field("counts").cast(pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.nulls(len(words), pa.int64()), *found], names=["gram", "word", "n"])
-            ends += len(symbols)
-            for data, place, _ in _streams(symbols):
-                gram = np.zeros(len(place), np.uint64)
-                for back in range(DEPTH, -1, -1):
-                    gram = (gram << np.uint64(8)) | data[place - back].astype(np.uint64)
-                gram.sort()
-                new = np.flatnonzero(np.concatenate([[True], gram[1:] != gram[:-1]]))
-                parts.append((gram[new], np.diff(np.append(new, len(gram)))))
-                if sum(len(p[0]) for p in parts) > MERGE:
-                    parts = [_summed(parts)]
-        grams, n = _summed(parts)
-        for low in range(0, len(grams), 100_000):
-            some = pa.array(grams[low : low + 100_000].view(np.int64)), pa.array(n[low : low + 100_000].astype(np.int64))
-            yield pa.RecordBatch.from_arrays([some[0], pa.nulls(len(some[0]), pa.string()), some[1]], names=["gram", "word", "n"])
-        if ends:  # the end is a token of its own; no word is empty
-            yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.array([""]), pa.array([ends])], names=["gram", "word", "n"])
-
-    counts = in_tasks(training.select("text"), count, COUNTS)
-    return stored(counts.groupBy("gram", "word").agg(F.sum("n").alias("n")), "counts")
-
-
-def build_tree(grams: DataFrame, params: Params) -> Tree:
-    """Retain contexts by divergence and smooth their distributions. ``grams`` has gram and n."""
-    total = grams.agg(F.sum("n")).first()[0] or 0
-    depths = F.array(*(F.struct(F.lit(d).alias("d"), F.col("gram").bitwiseAND(F.lit((1 << 8 * (d + 1)) - 1)).alias("g")) for d in range(DEPTH + 1)))
-    levels = grams.select(F.explode(depths).alias("x"), "n").groupBy("x.d", "x.g").agg(F.sum("n").alias("n"))
-    levels = stored(levels.select("d", F.shiftright("g", 8).alias("context"), F.col("g").bitwiseAND(F.lit(255)).alias("symbol"), "n"), "levels")
-    contexts = levels.groupBy("d", "context").agg(F.sum("n").alias("total")).filter(F.col("total") >= params.min_share * total)
-    entries = levels.join(contexts, ["d", "context"]).filter((F.col("d") == 0) | (F.col("n") >= params.min_symbol_share * total))
-    entries = stored(entries, "entries")
-    shorter = F.expr("context & (shiftleft(1L, 8 * (d - 1)) - 1)")
-    parents = entries.select((F.col("d") + 1).alias("d"), F.col("context").alias("parent"), "symbol", F.expr("n / total").alias("q"))
-    children = entries.filter("d > 0").withColumn("parent", shorter).join(parents, ["d", "parent", "symbol"])
-    divergence = F.sum(F.expr("n / total * ln(n / total / q)"))
-    retained = children.groupBy("d", "context").agg(divergence.alias("kl")).filter(F.col("kl") >= params.min_divergence)
-    suffixes = F.expr("transform(sequence(0, d), k -> struct(k as d, context & (shiftleft(1L, 8 * k) - 1) as context))")
-    nodes = retained.select(F.explode(suffixes).alias("x")).select("x.d", "x.context").distinct()
-    nodes = nodes.union(entries.filter("d = 0").select("d", "context").distinct()).distinct()
-    # Bounded by the shares: at most (DEPTH + 1) / min_symbol_share rows.
-    table = entries.join(nodes, ["d", "context"], "left_semi").orderBy("d", "context", "symbol").toArrow()
-    return _tree(*(table.column(c).to_numpy() for c in ("d", "context", "symbol", "n", "total")), total, params)
-
-
-def _tree(d: np.ndarray, context: np.ndarray, symbol: np.ndarray, n: np.ndarray, total: np.ndarray, symbols: int, params: Params) -> Tree:
-    seen = np.unique(symbol[d == 0])
-    index = np.full(256, len(seen), np.int32)  # bytes never seen share the last place
-    index[seen] = np.arange(len(seen))
-    width = len(seen) + 1
-    new = np.flatnonzero(np.concatenate([[True], (d[1:] != d[:-1]) | (context[1:] != context[:-1])])) if len(d) else np.zeros(0, np.int64)
-    child = np.zeros((max(len(new), 1), width), np.int32)
-    prob = np.full((max(len(new), 1), width), 1.0 / (symbols + 257))
-    depth, key, of = d[new], context[new], total[new]
-    for node in range(len(new)):
-        rows = slice(new[node], new[node + 1] if node + 1 < len(new) else len(d))
-        if depth[node] == 0:
-            prob[0, index[symbol[rows]]] = (n[rows] + 1) / (symbols + 257)
-            continue
-        length = int(depth[node])
-        low, high = np.searchsorted(depth, [length - 1, length])
-        parent = low + np.searchsorted(key[low:high], key[node] & ((1 << 8 * (length - 1)) - 1))
-        child[parent, index[int(key[node]) >> 8 * (length - 1)]] = node
-        left_out = of[node] - n[rows].sum() + params.smoothing
-        prob[node] = left_out * prob[parent] / (of[node] + params.smoothing)
-        prob[node, index[symbol[rows]]] += n[rows] / (of[node] + params.smoothing)
-    return Tree(index, child, np.log10(prob).astype(np.float32))
-
-
-def tree_scores(tree: Tree, symbols: list[bytes]) -> np.ndarray:
-    """log10 probability of each token: the words of each text, then its end."""
-    width = tree.child.shape[1]
-    child, logp = tree.child.ravel(), tree.logp.ravel()
-    parts, carried = [], 0.0
-    for data, place, _ in _streams(symbols):
-        code = tree.symbol[data].astype(np.int64)
-        node, live = np.zeros(len(place), np.int64), np.arange(len(place))
-        for back in range(1, DEPTH + 1):
-            longer = child[node[live] * width + code[place[live] - back]]
-            further = longer > 0
-            live = live[further]
-            node[live] = longer[further]
-        last = (data[place] == SPACE[0]) | (data[place] == END[0])
-        token = np.cumsum(last) - last
-        sums = np.bincount(token, logp[node * width + code[place]])
-        sums[0] += carried
-        carried = 0.0 if last[-1] else sums[-1]  # a token that a segment of a long text cuts
-        parts.append(sums if last[-1] else sums[:-1])
-    return np.concatenate([np.zeros(0), *parts])
+            found = split_words(batch.column(0)).values.value_counts()
+            found = found.filter(pc.not_equal(found.field("values"), ""))
+            words = found.field("values").cast(pa.string())
+            yield pa.RecordBatch.from_arrays([words, pa.array(hashed(words.to_pylist()).view(np.int64)), found.field("counts").cast(pa.int64())], names=["word", "symbol", "n"])
+            ends += batch.num_rows
+        if ends:
+            yield pa.RecordBatch.from_arrays([pa.array([""]), pa.array([END]).view(pa.int64()), pa.array([ends])], names=["word", "symbol", "n"])
+
+    counts = in_tasks(texts, count, "word string, symbol bigint, n bigint")
+    return stored(counts.groupBy("word", "symbol").agg(F.sum("n").alias("n")), "words")
+
+
+def _summed(context: np.ndarray, symbol: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    _, first, of = np.unique(mix(context, symbol), return_index=True, return_inverse=True)
+    return context[first], symbol[first], np.bincount(of, n, len(first)).astype(np.int64)
+
+
+def count_grams(texts: DataFrame, contexts: DataFrame, depth: int, min_symbol: int) -> DataFrame:
+    """context, symbol and n (``min_symbol`` or more) after each of ``contexts``, all of one depth."""
+    passes = key_filter(contexts.select(F.col("context").alias("key")))
+
+    def count(batches: Batches) -> Batches:
+        held = [(np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int64))]
+        for batch in batches:
+            tokens = Tokens.of(batch.column(0))
+            at, name = tokens.contexts(depth)[-1]
+            some = passes(name.view(np.int64))
+            held.append(_summed(name[some], tokens.symbol[at[some]], np.ones(int(some.sum()), np.int64)))
+            if sum(len(h[0]) for h in held) > HELD:
+                held = [_summed(*(np.concatenate(x) for x in zip(*held, strict=True)))]
+                if len(held[0][0]) > HELD // 2:
+                    yield from _gram_batches(held.pop())
+        if held:
+            yield from _gram_batches(_summed(*(np.concatenate(x) for x in zip(*held, strict=True))))
+
+    if passes is None:
+        return texts.sparkSession.createDataFrame([], f"{GRAMS}, parent bigint, total bigint")
+    grams = in_tasks(texts, count, GRAMS).groupBy("context", "symbol").agg(F.sum("n").alias("n"))
+    return grams.filter(F.col("n") >= min_symbol).join(contexts.select("context", "parent", "total"), "context")
+
+
+def _gram_batches(grams: tuple[np.ndarray, np.ndarray, np.ndarray]) -> Batches:
+    for low in range(0, len(grams[0]), 100_000):
+        columns = [pa.array(g[low : low + 100_000].view(np.int64)) for g in grams]
+        yield pa.RecordBatch.from_arrays(columns, names=["context", "symbol", "n"])
+
+
+def _named(rows: DataFrame, function, schema: str) -> DataFrame:
+    """``function`` of the columns of ``rows`` (all bigint), as numpy arrays of 64 bits."""
+    names = [c.split()[0] for c in schema.split(", ")]
+
+    def read(batches: Batches) -> Batches:
+        for batch in batches:
+            found = function(*(c.to_numpy().view(np.uint64) for c in batch.columns))
+            yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(f).view(np.int64)) for f in found], names=names)
+
+    return in_tasks(rows, read, schema)
+
+
+CONTEXTS = "context bigint, parent bigint, total bigint"
+
+
+def build_tree(texts: DataFrame, words: DataFrame, below: float, params: Params) -> DataFrame:
+    """The tree as a table: name, extra (what it adds to log10 P) and n.
+
+    ``contexts`` and ``symbols`` of a depth are stored; a deeper context is a symbol of one a token
+    shorter that was counted often enough, so its count is known before its symbols are counted.
+    """
+    end = int(END.view(np.int64))
+    often = words.filter((F.col("n") >= params.min_context) & (F.col("symbol") != end)).select("symbol", "n")
+    starts = words.filter((F.col("symbol") == end) & (F.col("n") >= params.min_context)).select(F.lit(int(START.view(np.int64))).alias("symbol"), "n")
+    first = lambda symbol, n: (mix(np.full(len(symbol), ROOT), symbol), np.full(len(symbol), ROOT), n)
+    contexts = stored(_named(often.union(starts), first, CONTEXTS), "contexts")
+    # Of the parent: the probability of each symbol, which the root has for all.
+    above = words.select(F.lit(int(ROOT.view(np.int64))).alias("parent"), "symbol", ((F.col("n") + 1) / F.lit(below)).alias("q"))
+    levels = []
+    for depth in range(1, params.depth + 1):
+        grams = count_grams(texts, contexts, depth, params.min_symbol)
+        symbols = stored(grams.join(above, ["parent", "symbol"]), "symbols")
+        kept = symbols.groupBy("context").agg(F.sum(F.col("n") - params.discount).alias("kept"), F.sum("n").alias("seen"))
+        symbols = symbols.join(kept, "context")
+        rest = 1 - F.col("kept") / F.col("total")
+        symbols = symbols.withColumn("rest", rest).withColumn("p", (F.col("n") - params.discount) / F.col("total") + F.col("rest") * F.col("q"))
+        symbols = stored(symbols, "smoothed")
+        levels.append((contexts, symbols, _significant(contexts, symbols, params)))
+        if depth < params.depth:
+            longer = symbols.filter((F.col("n") >= params.min_context) & (F.col("symbol") != end)).select("context", "parent", "symbol", "n")
+            extend = lambda c, p, s, n: (mix(c, s), mix(p, s), n)
+            contexts = stored(_named(longer, extend, CONTEXTS), "contexts")
+            above = symbols.select(F.col("context").alias("parent"), "symbol", F.col("p").alias("q"))
+    retained, tree = None, None
+    for contexts, symbols, chosen in reversed(levels):
+        if retained is not None:  # suffixes of retained contexts
+            chosen = chosen.union(retained.select(F.col("parent").alias("context"))).distinct()
+        retained = stored(contexts.join(chosen, "context", "left_semi"), "retained")
+        own = symbols.join(retained.select("context"), "context", "left_semi")
+        of_contexts = own.select("context", "rest", "total").distinct()
+        rows = of_contexts.select(F.col("context").alias("name"), F.log10("rest").alias("extra"), F.col("total").alias("n"))
+        pairs = _pair_names(own.select("context", "symbol", "n", F.log10(F.col("p") / (F.col("rest") * F.col("q"))).alias("extra")))
+        rows = rows.union(pairs.select("name", "extra", "n"))
+        tree = rows if tree is None else tree.union(rows)
+    return stored(tree, "tree")
+
+
+def _pair_names(rows: DataFrame) -> DataFrame:
+    def read(batches: Batches) -> Batches:
+        for batch in batches:
+            context, symbol = (batch.column(i).to_numpy().view(np.uint64) for i in (0, 1))
+            name = mix(mix(context, symbol), PAIR)
+            yield pa.RecordBatch.from_arrays([pa.array(name.view(np.int64)), *batch.columns[2:]], names=["name", "n", "extra"])
+
+    return in_tasks(rows, read, "name bigint, n bigint, extra double")
+
+
+def _significant(contexts: DataFrame, symbols: DataFrame, params: Params) -> DataFrame:
+    """Contexts that predict their own occurrences, each left out, better than the parent by ``min_gain`` nats."""
+    one = "(total - 1)"
+    # Of a symbol that stays kept without one occurrence, and of one that falls below ``min_symbol``.
+    stays = f"(n - 1 - {params.discount}D) / {one} / q + 1 - (kept - 1) / {one}"
+    falls = f"1 - (kept - (n - {params.discount}D)) / {one}"
+    gain = F.expr(f"n * ln(CASE WHEN n > {params.min_symbol} THEN {stays} ELSE {falls} END)")
+    by_context = symbols.groupBy("context").agg(
+        F.sum(gain).alias("gain"), *(F.any_value(c).alias(c) for c in ("total", "kept", "seen"))
+    )
+    others = F.expr(f"CASE WHEN total > seen THEN (total - seen) * ln(1 - kept / {one}) ELSE 0D END")
+    return by_context.filter(F.col("gain") + others >= params.min_gain).select("context")
+
+
+def _lookup(words: DataFrame, tree: DataFrame) -> DataFrame:
+    """All names: known (1 for words), base and extra (their parts of the scores), and n."""
+
+    def named(symbol: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, ...]:
+        return mix(np.full(len(symbol), WORD), symbol), n
+
+    of_words = _named(words.select("symbol", "n"), named, "name bigint, n bigint")
+    of_words = of_words.select("name", F.lit(1).alias("known"), F.log10(F.col("n") + 1).alias("base"), F.lit(0.0).alias("extra"), "n")
+    return stored(of_words.union(tree.select("name", F.lit(0).alias("known"), F.lit(0.0).alias("base"), "extra", "n")), "names")
+
+
+def _most_frequent(names: DataFrame, top: int) -> int:
+    """A count that at most ``top`` names reach."""
+    steps = names.groupBy(F.floor(F.log2("n") * 8).alias("step")).agg(F.count(F.lit(1)).alias("names"), F.min("n").alias("least"))
+    least, held = 1 << 62, 0
+    for r in sorted(steps.collect(), key=lambda r: -r["step"]):  # a few hundred steps
+        held += r["names"]
+        if held > top:
+            break
+        least = r["least"]
+    return least
 
 
 def score_documents(documents: DataFrame, params: Params = Params()) -> DataFrame:
@@ -216,75 +281,70 @@ def score_documents(documents: DataFrame, params: Params = Params()) -> DataFram
     id_ = F.col("doc_id").cast("bigint")
     fold = F.crc32(F.coalesce(id_.cast("string"), F.lit("")).cast("binary")) % params.folds
     docs = documents.select(id_.alias("doc_id"), (fold == params.held_out_fold).alias("held_out"), "text")
-    counts = count_training(docs.filter("not held_out"))
-    tree = build_tree(counts.filter("gram is not null").select("gram", "n"), params)
-    words = counts.filter("gram is null").select("word", "n")
-    sums = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1)), F.coalesce(F.max(F.when(F.col("word") == "", F.col("n"))), F.lit(0))).first()
-    tokens, kinds, ends = sums
-    weight = params.word_weight if tokens else 0.0
+    training = docs.filter("not held_out").select("text")
+    words = count_words(training)
+    tokens, kinds = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     below = float(tokens + 1 * (kinds + 1))
-    is_common = F.col("n") >= params.min_word_share * tokens
-    # At most 1 / min_word_share words.
-    common = {r["word"]: r["n"] for r in words.filter(is_common & (F.col("word") != "")).collect()}
-
-    def mixture(count: np.ndarray, logp: np.ndarray) -> np.ndarray:
-        return np.log10(weight * count / max(tokens, 1) + (1 - weight) * 10**logp)
-
-    shared = spark.sparkContext.broadcast((tree, common))
+    names = _lookup(words, build_tree(training, words, below, params))
+    least = _most_frequent(names, params.top)
+    top = names.filter(F.col("n") >= least).select("name", "known", "base", "extra").toArrow().sort_by("name")
+    shared = spark.sparkContext.broadcast([top.column(i).to_numpy() for i in range(4)])
+    passes = key_filter(names.select(F.col("name").alias("key")))
 
     def score(batches: Batches) -> Batches:
-        tree, common = shared.value
+        name, known, base, extra = shared.value
         first = TaskContext.get().partitionId() << 33
         for batch in batches:
             if not batch.num_rows:
                 continue
-            symbols, lists, n_words = _joined(batch.column(2))
-            offsets, words = lists.offsets.to_numpy(), lists.values.dictionary_encode()
-            kind = [common.get(w, -1) for w in words.dictionary.to_pylist()]
-            count = np.array(kind, np.int64)[words.indices.to_numpy()]
-            at = np.repeat(np.arange(len(symbols)), np.diff(offsets))
-            if not n_words.all():  # a text without words has one empty word here
-                real = n_words[at] > 0
-                count, at, words = count[real], at[real], words.filter(pa.array(real))
-            by_token = tree_scores(tree, symbols)
-            is_end = np.zeros(len(by_token), bool)
-            is_end[np.cumsum(n_words + 1) - 1] = True
-            spelled = by_token[~is_end]
-            known, rare = count > 0, count < 0
-            size = len(symbols)
-            base = np.bincount(at[known], np.log10((count[known] + 1) / below), size) + np.log10((ends + 1) / below)
-            mixed = mixture(np.int64(ends), by_token[is_end])
-            mixed = mixed + np.bincount(at[known], mixture(count[known], spelled[known]), size)
-            of_known = np.bincount(at[known], minlength=size) + (ends > 0)
-            edges = np.concatenate([[0], np.cumsum(np.bincount(at[rare], minlength=size))]).astype(np.int32)
-            rest = words.filter(pa.array(rare)).dictionary_decode().cast(pa.string()), pa.array(spelled[rare])
+            found = Tokens.of(batch.column(2))
+            size = batch.num_rows
+            at = np.flatnonzero(found.place > 0)
+            wanted = [(at, mix(np.full(len(at), WORD), found.symbol[at]))]
+            for places, context in found.contexts(params.depth):
+                wanted += [(places, context), (places, mix(mix(context, found.symbol[places]), PAIR))]
+            sums = [np.zeros(size), np.full(size, 0.0), np.zeros(size)]
+            rows, others = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+            for places, key in wanted:
+                key, row = key.view(np.int64), found.text[places]
+                if passes is None:
+                    break
+                some = passes(key)
+                key, row = key[some], row[some]
+                place = np.minimum(np.searchsorted(name, key), max(len(name) - 1, 0))
+                there = name[place] == key if len(name) else np.zeros(len(key), bool)
+                for total, value in zip(sums, (known, base, extra), strict=True):
+                    total += np.bincount(row[there], value[place[there]], size)
+                rows.append(row[~there])
+                others.append(key[~there])
+            row, other = np.concatenate(rows), np.concatenate(others)
+            order = np.argsort(row, kind="stable")
+            edges = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=size))]).astype(np.int32)
+            n_tokens = np.bincount(found.text[at], minlength=size)
             columns = [
                 pa.array(np.arange(first, first + size)),
                 *batch.columns[:2],
-                pa.array(n_words + 1),
-                pa.array(of_known.astype(np.int64)),
-                pa.array(base),
-                pa.array(mixed),
-                pa.ListArray.from_arrays(pa.array(edges), pa.StructArray.from_arrays(rest, ["word", "logp"])),
+                pa.array(n_tokens.astype(np.int64)),
+                pa.array(sums[0].astype(np.int64)),
+                pa.array(sums[1] - n_tokens * math.log10(below)),
+                pa.array(sums[2]),
+                pa.ListArray.from_arrays(pa.array(edges), pa.array(other[order])),
             ]
-            first += len(symbols)
-            yield pa.RecordBatch.from_arrays(columns, names=SCORE_COLUMNS)
+            first += size
+            yield pa.RecordBatch.from_arrays(columns, names=["row", "doc_id", "held_out", "n_tokens", "known", "base", "extra", "names"])
 
     scored = stored(in_tasks(docs, score, SCORES), "scores")
-    rare = scored.select("row", F.inline("rest")).join(words.filter(~is_common), "word", "left")
-    seen = F.coalesce("n", F.lit(0))
-    mixed = F.log10(weight * seen / max(tokens, 1) + (1 - weight) * F.pow(F.lit(10.0), "logp"))
-    by_row = rare.groupBy("row").agg(
-        F.sum(F.log10((seen + 1) / below)).alias("more"),
-        F.count_if(seen > 0).alias("also"),
-        F.sum(mixed).alias("further"),
-    )
+    rare = names.filter(F.col("n") < least).select("name", "known", "base", "extra")
+    met = scored.select("row", F.explode("names").alias("name")).join(rare, "name")
+    by_row = met.groupBy("row").agg(*(F.sum(c).alias(f"rare_{c}") for c in ("known", "base", "extra")))
+    both = lambda c, none: F.col(c) + F.coalesce(F.col(f"rare_{c}"), none)
+    base = both("base", F.lit(0.0))
     return scored.join(by_row, "row", "left").select(
         "doc_id",
         "held_out",
         "n_tokens",
-        (F.col("known") + F.coalesce("also", F.lit(0))).alias("n_known"),
+        both("known", F.lit(0)).cast("bigint").alias("n_known"),
         F.lit(tokens).cast("bigint").alias("train_tokens"),
-        (F.col("base") + F.coalesce("more", F.lit(0.0))).alias("base_score"),
-        (F.col("score") + F.coalesce("further", F.lit(0.0))).alias("score"),
+        base.alias("base_score"),
+        (base + both("extra", F.lit(0.0))).alias("score"),
     )

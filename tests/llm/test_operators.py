@@ -10,6 +10,7 @@ from collections import Counter
 import duckdb
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -500,25 +501,73 @@ def test_suffix_tree(documents, empty):
     for i, t in texts():
         base = sum(math.log10((counts[w] + 1) / (total + kinds + 1)) for w in words(t))
         expected[i] = (held(i), len(words(t)), sum(counts[w] > 0 for w in words(t)), total, pytest.approx(base))
-    for params in (suffix_tree.Params(), suffix_tree.Params(min_word_share=0.01)):
+    for params in (suffix_tree.Params(), suffix_tree.Params(top=0), suffix_tree.Params(min_context=3, min_symbol=2, min_gain=0.5, depth=3, top=20)):
+        scores = plain_tree(texts(), held, words, params)
         found = suffix_tree.score_documents(documents, params).collect()
         assert len(found) == len(texts())
         for r in found:
             assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens, r.base_score) == expected[r.doc_id]
-            assert r.score < 0
+        got = sorted((r.n_tokens, r.doc_id or -1, r.score) for r in found)
+        assert [x[2] for x in got] == pytest.approx([x[2] for x in sorted((len(words(t)), i or -1, s) for (i, t), s in zip(texts(), scores))])
     assert suffix_tree.score_documents(empty).count() == 0
 
 
-def test_tree_probabilities_sum_to_one(spark, documents, monkeypatch):
-    counts = suffix_tree.count_training(documents)
-    tree = suffix_tree.build_tree(counts.filter("gram is not null").select("gram", "n"), suffix_tree.Params())
-    unseen = 256 - (tree.child.shape[1] - 1)
-    mass = (10.0 ** tree.logp[:, :-1].astype(float)).sum(axis=1) + unseen * 10.0 ** tree.logp[:, -1].astype(float)
-    assert len(tree.child) > 1 and (mass <= 1.0001).all() and (mass > 0.99).all()
-    symbols = [long_text(500, 9).lower().encode() + b" \n", b"\n"]
-    whole = suffix_tree.tree_scores(tree, symbols)
-    monkeypatch.setattr(suffix_tree, "CHUNK", 64)
-    assert np.allclose(whole, suffix_tree.tree_scores(tree, symbols))
+def plain_tree(data, held, words, params):
+    """Scores by a tree of dictionaries."""
+    stream = [["<start>", *words(t)] for _, t in data]
+    training = [s for (i, _), s in zip(data, stream) if not held(i)]
+    unigrams = Counter(w for s in training for w in s[1:])
+    below = sum(unigrams.values()) + len(unigrams) + 1
+    after = {}
+    for s in training:
+        for j in range(1, len(s)):
+            for d in range(1, min(params.depth, j) + 1):
+                after.setdefault(tuple(s[j - d : j]), Counter())[s[j]] += 1
+    after = {c: n for c, n in after.items() if sum(n.values()) >= params.min_context}
+
+    def kept(counts, left_out=None):
+        counts = {x: n - (x == left_out) for x, n in counts.items()}
+        return {x: n - params.discount for x, n in counts.items() if n >= params.min_symbol}
+
+    def probability(c, x):
+        if not c:
+            return (unigrams[x] + 1) / below
+        own, total = kept(after[c]), sum(after[c].values())
+        return own.get(x, 0) / total + (1 - sum(own.values()) / total) * probability(c[1:], x)
+
+    def gain(c):
+        result, total = 0.0, sum(after[c].values()) - 1
+        for x, n in after[c].items():
+            own, parent = kept(after[c], x), probability(c[1:], x)
+            result += n * math.log(own.get(x, 0) / total / parent + 1 - sum(own.values()) / total)
+        return result
+
+    chosen = {c for c in after if kept(after[c]) and gain(c) >= params.min_gain}
+    chosen = {c[k:] for c in chosen for k in range(len(c))}
+    result = []
+    for s in stream:
+        total = 0.0
+        for j in range(1, len(s)):
+            c = next((tuple(s[j - d : j]) for d in range(min(params.depth, j), 0, -1) if tuple(s[j - d : j]) in chosen), ())
+            total += math.log10(probability(c, s[j]))
+        result.append(total)
+    assert chosen or params.min_context > 3
+    return result
+
+
+def test_tree_beats_the_unigrams_on_held_out_text(spark):
+    found = suffix_tree.score_documents(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))
+    score, base = found.filter("held_out").agg(F.sum("score"), F.sum("base_score")).first()
+    assert score > base * 0.99
+
+
+def test_tokens_of_long_texts_and_without_words():
+    found = suffix_tree.Tokens.of(pa.array(["a B  c", "", None, " \n", "x " * 50_000]))
+    assert np.bincount(found.text).tolist() == [5, 2, 2, 2, 50_002]
+    assert (found.symbol[found.place == 0] == suffix_tree.START).all() and (found.symbol == suffix_tree.END).sum() == 5
+    (one, first), (two, second) = found.contexts(2)
+    assert len(one) == len(found.symbol) - 5 and len(two) == len(found.symbol) - 10
+    assert len(set(first[-50_000:].tolist())) == 1 and len(set(second[-49_000:].tolist())) == 1
 
 
 def test_pipeline(spark, documents):
