@@ -217,6 +217,16 @@ def test_near_duplicates_stage(spark, empty, monkeypatch):
     assert corpus_pipeline.keep_distinct(spark, empty, "").count() == 0
 
 
+def test_long_sketches_never_part_similar_sets():
+    rng = np.random.default_rng(12)
+    for n in (0, 1, 7, 300, 5000):
+        one = rng.integers(0, 1 << 63, n).astype(np.uint64)
+        two = np.concatenate([one[: int(0.9 * n)], rng.integers(0, 1 << 63, n // 5).astype(np.uint64)])
+        apart = near_copies.bits_apart(near_copies.long_sketch(one), near_copies.long_sketch(two))
+        assert apart <= len(np.setxor1d(one, two)) and (n < 300 or apart > 0)
+        assert near_copies.bits_apart(near_copies.long_sketch(one), near_copies.long_sketch(one)) == 0
+
+
 def test_components_of_a_path(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(300)] + [(1000, 1001), (5, 5)], "a bigint, b bigint")
     found = {r.node: r.root for r in components(links.repartition(4)).collect()}
