@@ -463,7 +463,8 @@ def test_product_quantisation(spark):
     data = [(i, (centres[i % 40] + rng.normal(scale=0.12, size=20)).astype(np.float32).tolist(), i % 3) for i in range(900)]
     data += [(900, data[0][1], 0), (901, None, 0), (902, [0.0] * 20, 0), (903, [float("nan")] * 20, 0), (904, [None] * 20, 0), (905, data[0][1], None)]
     data += [(906, data[0][1][:7], 0), (907, [], 0), (None, data[0][1], 0), (0, data[0][1], 0)]
-    embeddings = spark.createDataFrame(data, "vec_id bigint, embedding array<float>, label int").repartition(3)
+    clashing = "node int, vector string, copies int, list int, root int, least int"
+    embeddings = spark.createDataFrame([(*d, 1, "x", 2, 3, 4, 5) for d in data], f"vec_id bigint, embedding array<float>, label int, {clashing}").repartition(3)
     found = pq_dedup.link_vectors(embeddings)
     assert found.count() == len(data)
     vectors = np.array([v for _, v, _ in data[:900]], np.float64)
@@ -580,6 +581,122 @@ def test_tokens_of_long_texts_and_without_words():
     assert len(set(first[-50_000:].tolist())) == 1 and len(set(second[-49_000:].tolist())) == 1
 
 
+def plain_quality(data, limits=quality.Limits()):
+    """(n_words, class distance, word distance, kept) of each (lang, text)."""
+    word = re.compile("[^\x20\x09-\x0d]+")
+    classes = ["abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789", ".,;:!?'\"()-", "#*$%&|<>"]
+
+    def by_class(w):
+        dense = "".join(w)
+        counts = [sum(dense.count(c) for c in cs) for cs in classes]
+        return [*counts, len(dense) - sum(counts)]
+
+    def distance(counts, reference):
+        p, q = ([x / sum(v) if sum(v) else 0.0 for x in v] for v in (counts, reference))
+        half = lambda x, y: x * math.log2(2 * x / (x + y)) / 2 if x else 0.0
+        return math.sqrt(max(sum(half(x, y) + half(y, x) for x, y in zip(p, q, strict=True)), 0.0))
+
+    cut = [(lang or "", word.findall(text or "")) for lang, text in data]
+    known = {}
+    for lang in {x[0] for x in cut}:
+        counts = Counter(w for other, ws in cut if other == lang for w in ws)
+        common = sorted(counts, key=lambda w: (-counts[w], w.encode()))[:32]
+        of_words = [counts[w] for w in common] + [0] * (32 - len(common))
+        of_classes = [sum(x) for x in zip(*(by_class(ws) for other, ws in cut if other == lang), strict=True)]
+        known[lang] = common, of_classes, [*of_words, sum(counts.values()) - sum(of_words)]
+    result = []
+    for lang, ws in cut:
+        common, of_classes, of_words = known[lang]
+        own = Counter(ws)
+        counts = [own[w] for w in common] + [0] * (32 - len(common))
+        apart = distance(by_class(ws), of_classes), distance([*counts, len(ws) - sum(counts)], of_words)
+        windows = Counter(tuple(ws[k : k + 5]) for k in range(len(ws) - 4))
+        covered = {i for k in range(len(ws) - 4) if windows[tuple(ws[k : k + 5])] > 1 for i in range(k, k + 5)}
+        failed = len(ws) < limits.base_min_words or 100 * len(covered) > limits.base_max_repeat * len(ws)
+        odd = len("".join(ws)) >= limits.min_chars and apart[0] > limits.max_class_distance
+        odd |= len(ws) >= limits.min_words and apart[1] > limits.max_word_distance
+        result.append((len(ws), *apart, not failed and not odd))
+    return result
+
+
+def test_quality_verdicts_by_brute_force(spark):
+    documents = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    found = {r.doc_id: r for r in quality.quality(documents).collect()}
+    data = documents.collect()
+    verdicts = Counter()
+    for r, (n, of_classes, of_words, kept) in zip(data, plain_quality([(r.lang, r.text) for r in data]), strict=True):
+        got = found[r.doc_id]
+        assert (got.n_words, got.kept) == (n, kept)
+        assert (got.class_distance, got.word_distance) == pytest.approx((of_classes, of_words), abs=1e-9)
+        verdicts[kept, got.base_failed] += 1
+    assert verdicts[True, False] > 500 and verdicts[False, False] > 10 and verdicts[False, True] > 10
+
+
+def plain_near_groups(texts_):
+    """Of each text the smallest place of a text that similar ones join it with."""
+    words = [(t or "").lower().split() for t in texts_]
+    sets = [{tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if w else set() for w in words]
+    group = list(range(len(sets)))
+    near = [[j for j, y in enumerate(sets) if x == y or (x and y and 5 * len(x & y) >= 4 * len(x | y))] for x in sets]
+    while True:
+        after = [min(group[j] for j in js) for js in near]
+        if after == group:
+            return group
+        group = after
+
+
+def plain_cuts(bodies, length=200):
+    """Bodies without the bytes of strings that start anywhere else."""
+    starts = Counter(b[i : i + length] for b in bodies for i in range(len(b) - length + 1))
+    result = []
+    for b in bodies:
+        cut = np.zeros(len(b) + 1, np.int64)
+        for i in range(len(b) - length + 1):
+            if starts[b[i : i + length]] > 1:
+                cut[i] += 1
+                cut[i + length] -= 1
+        result.append(bytes(np.frombuffer(b, np.uint8)[np.cumsum(cut[:-1]) == 0]))
+    return result
+
+
+def test_pipeline_rows_by_brute_force(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    stages = dict(corpus_pipeline.STAGES)
+
+    def run(name, before):
+        after = stages[name](spark, before, "")
+        after = spark.createDataFrame(after.collect(), after.schema)
+        return after, {r.doc_id: r.text for r in after.collect()} if "text" in after.columns else None
+
+    data = sorted(docs.collect(), key=lambda r: r.doc_id)
+    kept = {r.doc_id: r.text for r, v in zip(data, plain_quality([(r.lang, r.text) for r in data]), strict=True) if v[-1]}
+    docs, found = run("quality", docs)
+    assert found == kept and 0 < len(kept) < len(data)
+    ids = sorted(kept)
+    kept = {i: kept[i] for place, (i, g) in enumerate(zip(ids, plain_near_groups([kept[i] for i in ids]), strict=True)) if g == place}
+    docs, found = run("near_duplicates", docs)
+    assert found == kept and len(kept) < len(ids)
+    ids = sorted(kept)
+    cut = plain_cuts([(kept[i] or "").encode() for i in ids])
+    docs, found = run("repeats", docs)
+    assert {i: (found[i] or "").encode().decode("utf-8", "ignore") for i in ids} == {i: b.decode("utf-8", "ignore") for i, b in zip(ids, cut, strict=True)}
+    assert {r.doc_id: r.n_chars for r in docs.collect()} == {i: len(t or "") for i, t in found.items()}
+    before, (docs, after) = found, run("secrets", docs)
+    for i, text in before.items():
+        parts, at = [], 0
+        for a, kind, b in plain_spans(text or ""):
+            parts += [(text or "")[at:a], f"[{kind}]"] if a >= at else []
+            at = max(at, b)
+        assert (after[i] or "") == "".join(parts) + (text or "")[at:]
+    pieces, _ = run("packing", docs)
+    got = sorted((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in pieces.collect())
+    expected = []
+    for i, text in after.items():
+        ids_ = np.array([*encoded(text)[1], 1], "<u4")
+        expected += [(i, p, low, len(ids_[low : low + 4096]), zlib.crc32(ids_[low : low + 4096].tobytes())) for p, low in enumerate(range(0, len(ids_), 4096))]
+    assert got == sorted(expected)
+
+
 def test_pipeline(spark, documents):
     docs, names = documents, documents.columns
     sizes = []
