@@ -7,7 +7,7 @@ codewords give its product with every stored code. How far a code misses its vec
 with it, so the table look-up dismisses no pair above the threshold that a probe meets; pairs
 it lets through are checked by exact cosine in double precision.
 
-The quantisers are fitted on at most ``TRAIN_ROWS`` nodes; every node is indexed. Lists are cut
+The quantisers are fitted on at most ``MOST_TRAIN_ROWS`` nodes (16 a list, 20,000 at least); every node is indexed. Lists are cut
 into blocks of ``BLOCK_ROWS`` stored nodes, each met by all queries of the list in a run of its
 own, so no list lands in one task. A run gives link counts and a spanning forest, not pairs.
 
@@ -29,9 +29,11 @@ from pyspark.sql import functions as F
 from hazemill.llm.common import Batches, components, in_tasks, stored
 
 THRESHOLD = 0.93
-TRAIN_ROWS, ROUNDS = 20_000, 8
+#: Vectors that the quantisers are fitted on, at least and at most, and for each list.
+TRAIN_ROWS, MOST_TRAIN_ROWS, ROWS_PER_LIST, ROUNDS = 20_000, 500_000, 16, 8
 SUBSPACE, CODES = 8, 256
-PROBES, LISTS = 16, (8, 4096)
+#: Lists grow with the root of the nodes, so that a list and the work per node do.
+PROBES, LISTS = 16, (8, 32_768)
 BLOCK_ROWS, QUERY_ROWS = 2048, 256
 LINK = "a bigint, b bigint, n bigint"
 
@@ -69,12 +71,16 @@ def _nearest(rows: np.ndarray, centres: np.ndarray) -> np.ndarray:
     return np.concatenate([np.zeros(0, np.int64), *parts])
 
 
+def lists_for(nodes: int) -> int:
+    return int(np.clip(nodes**0.5 / 2, *LISTS))
+
+
 def fit(sample: np.ndarray, nodes: int) -> Quantiser:
     rng = np.random.default_rng(3)
     width = -(-sample.shape[1] // SUBSPACE) * SUBSPACE
     empty = Quantiser(width, np.zeros((1, width)), np.zeros((width // SUBSPACE, 1, SUBSPACE)))
     rows = empty.padded(sample)
-    centres = _means(rows, int(np.clip(nodes**0.5 / 2, *LISTS)), rng)
+    centres = _means(rows, lists_for(nodes), rng)
     rest = rows - centres[_nearest(rows, centres)]
     words = [_means(rest[:, i : i + SUBSPACE], CODES, rng) for i in range(0, width, SUBSPACE)]
     return Quantiser(width, centres, np.stack(words))
@@ -178,10 +184,8 @@ def _links(quantisers: dict[int, Quantiser], list_: int, held: pa.RecordBatch, a
     q_node, r_node = asked.column(4).to_numpy(), held.column(4).to_numpy()
     home = asked.column(5).to_numpy()
     # A pair is met in the lists of both nodes: it counts in the lower, if the other node probes it.
-    probed = np.zeros((len(r_node), len(quantiser.centres)), bool)
-    for i, p in enumerate(held.column(6).to_pylist()):
-        probed[i, p] = True
-    both = probed[r, home[q]]
+    probes = held.column(6).flatten().to_numpy().reshape(len(r_node), -1)  # as many for each node
+    both = np.concatenate([np.zeros(0, bool), *((probes[r[i : i + 65536]] == home[q[i : i + 65536], None]).any(axis=1) for i in range(0, len(q), 65536))])
     mine = np.where(home[q] == list_, q_node[q] < r_node[r], ~both | (list_ < home[q]))
     q, r = q[mine], r[mine]
     cosine = np.einsum("ij,ij->i", queries[q], rows[r]) / (np.linalg.norm(queries, axis=1)[q] * np.linalg.norm(rows, axis=1)[r])
@@ -225,9 +229,10 @@ def link_vectors(embeddings: DataFrame) -> DataFrame:
     total = classes.count()
     if not total:
         return rows.select("vec_id", F.lit(0).cast("bigint").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
-    sample = classes.sample(min(1.0, TRAIN_ROWS / total), 7).limit(TRAIN_ROWS).select("vector").toArrow().column(0)
+    train = int(np.clip(ROWS_PER_LIST * lists_for(total), TRAIN_ROWS, MOST_TRAIN_ROWS))
+    sample = classes.sample(min(1.0, train / total), 7).limit(train).select("vector").toArrow().column(0)
     if not len(sample):
-        sample = classes.limit(TRAIN_ROWS).select("vector").toArrow().column(0)
+        sample = classes.limit(train).select("vector").toArrow().column(0)
     quantisers = fit_by_length(sample.to_pylist(), total)
 
     def pack(batches: Batches) -> Batches:

@@ -15,7 +15,8 @@ In each round splitters from a sample range-partition the suffixes by their toke
 sort locally by multikey quicksort and compare neighbours. Equal suffixes meet in one bucket
 unless a splitter falls on them twice; then the sample itself shows that they repeat, which
 settles the comparison across the boundary, and they are dealt over all buckets it opens.
-So no suffix, however frequent, lands in one task.
+So no suffix, however frequent, lands in one task. A task holds its bucket: the number of buckets
+follows from the bytes of text, so a bucket stays at some three million suffixes for any table.
 
 Texts are bytes of UTF-8, matches stay within a document (documents of equal text match each
 other). Nulls are empty; texts below ``length`` bytes are kept whole; repeated rows match each
@@ -32,7 +33,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
@@ -44,6 +45,8 @@ CHUNK_BITS = 18
 CHUNK = 1 << CHUNK_BITS
 #: Documents whose suffixes set the splitters, and suffixes of one document that count.
 SAMPLE_DOCS, SAMPLE_EACH = 2000, 64
+#: Bytes of text whose suffixes a bucket sorts, about: some three million.
+BUCKET_BYTES = 256 << 20
 SUFFIX = "bucket int, h1 bigint, h2 bigint, k0 bigint, k1 bigint, at int, n int, rel int"
 FOUND = "k0 bigint, k1 bigint, at int, n int, rel int, state int"
 #: States of a suffix: undecided, repeated, and repeated but also a partner for undecided ones.
@@ -289,11 +292,15 @@ def _undecided(batches: Batches, length: int) -> Iterator[tuple]:
             yield keys, Spans(spans.data, spans.first, spans.size, row[item], spans.base), n[item].astype(np.int64), rel[item].astype(np.int64)
 
 
-def _sampled(docs: DataFrame, length: int, buckets: int) -> list[Splitters]:
-    """Splitters of the three rounds, from the suffixes of a bounded sample of documents that have any."""
+def _sampled(docs: DataFrame, length: int) -> tuple[int, list[Splitters]]:
+    """The number of buckets, and splitters of the three rounds from the suffixes of a sample of documents
+    that have any. The sample has some 32 suffixes a bucket; a bucket's size does not grow with the table."""
+    spark = docs.sparkSession
     docs = docs.filter(F.length("body") >= length)
-    total = docs.count()
-    sample = docs.sample(min(1.0, SAMPLE_DOCS / max(total, 1)), 11).limit(2 * SAMPLE_DOCS)
+    total, size = docs.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.length("body").cast("bigint")), F.lit(0))).first()
+    buckets = max(shuffle_partitions(spark), -(-size // BUCKET_BYTES))
+    wanted = max(SAMPLE_DOCS, buckets // 2)
+    sample = docs.sample(min(1.0, wanted / max(total, 1)), 11).limit(2 * wanted)
 
     def read(batches: Batches) -> Batches:
         chosen = np.random.default_rng(5)
@@ -308,7 +315,7 @@ def _sampled(docs: DataFrame, length: int, buckets: int) -> list[Splitters]:
 
     table = in_tasks(sample, read, "stage int, h1 bigint, h2 bigint").toArrow()
     stage, h1, h2 = (table.column(i).to_numpy() for i in range(3))
-    return [Splitters.of(h1[stage == i], h2[stage == i], buckets) for i in range(3)]
+    return buckets, [Splitters.of(h1[stage == i], h2[stage == i], buckets) for i in range(3)]
 
 
 def _merged(at: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -328,7 +335,6 @@ def remove_repeats(documents: DataFrame, length: int = LENGTH, carry: tuple[str,
     """
     if not 160 + BLOCK <= length <= 256:
         raise ValueError("length must be between 176 and 256")
-    spark: SparkSession = documents.sparkSession
     body = F.coalesce(F.col("text").cast("binary"), F.lit(b""))
     id_ = F.col("doc_id").cast("bigint")
     docs = documents.select(
@@ -338,8 +344,7 @@ def remove_repeats(documents: DataFrame, length: int = LENGTH, carry: tuple[str,
         body.alias("body"),
         F.struct(F.lit(True).alias("_"), *(F.col(c) for c in carry)).alias("carried"),
     )
-    buckets = shuffle_partitions(spark)
-    splitters = _sampled(docs.select("body"), length, buckets)
+    buckets, splitters = _sampled(docs.select("body"), length)
 
     def runs(batches: Batches) -> Batches:
         for batch in batches:

@@ -482,7 +482,9 @@ def test_product_quantisation(spark):
     assert pq_dedup.link_vectors(embeddings.limit(0)).count() == 0
 
 
-def test_product_quantisation_probes_some_lists(spark):
+@pytest.mark.parametrize("lists", [8, 1000])
+def test_product_quantisation_probes_some_lists(spark, monkeypatch, lists):
+    monkeypatch.setattr(pq_dedup, "LISTS", (lists, 32_768))
     rng = np.random.default_rng(8)
     units = rng.normal(size=(18000, 64))
     units /= np.linalg.norm(units, axis=1, keepdims=True)
