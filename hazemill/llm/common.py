@@ -106,7 +106,11 @@ Batches = Iterator[pa.RecordBatch]
 
 
 def in_tasks(df: DataFrame, function: Callable[[Batches], Batches], schema: str | StructType) -> DataFrame:
-    """``function`` over the Arrow batches of each partition, of ``BATCH_ROWS`` rows at most."""
+    """``function`` over the Arrow batches of each partition.
+
+    A batch has ``BATCH_ROWS`` rows at most, for which the session's setting is lowered, and Spark
+    closes it at ``spark.sql.execution.arrow.maxBytesPerBatch`` (64 MB), so long texts do not add up.
+    """
     spark = df.sparkSession
     ship_package(spark)
     if int(spark.conf.get(ROWS_SETTING)) > BATCH_ROWS:

@@ -1,15 +1,19 @@
 """SimHash near-duplicates by pigeonhole blocks.
 
-A fingerprint is cut into six blocks of 10 or 11 bits. Two fingerprints that differ in at most
-four bits agree on at least two blocks, so every such pair meets under one of the 15 pairs of
-blocks; those that meet are verified by Hamming distance. Equal fingerprints are one node.
+A fingerprint is cut into blocks, two at least more than the bits that may differ: six blocks of 10
+or 11 bits for four bits. Two fingerprints that near agree on two blocks or more, so every such pair
+meets under one of the 15 pairs of blocks; those that meet are verified by Hamming distance. With
+six blocks a bucket has one of some two million fingerprints; larger tables are cut into seven,
+eight or nine blocks, of which three, four or five agree, so that unlike fingerprints in a bucket
+stay few. Any number of blocks gives the same links. Equal fingerprints are one node.
 Buckets are sorted runs of a shuffle, not groups: most have one row. A bucket beyond
 ``BLOCK_ROWS`` is split into blocks, and each pair of blocks is its own run, so no task holds a
 whole large bucket. A run gives at most the links of a spanning forest for large runs.
 
 Nulls are empty texts; texts without words have fingerprint zero and link like any other;
 repeated rows share a fingerprint and each give a row; a null doc_id is never a component's id
-unless no other is there; extra columns are ignored; an empty table gives an empty result.
+unless no other is there; extra columns are ignored; an empty table gives an empty result. Texts
+are read whole, however long.
 """
 
 from __future__ import annotations
@@ -26,8 +30,8 @@ from pyspark.sql import functions as F
 from hazemill.llm.common import Batches, components, in_tasks, stored
 
 SEED, MAX_DISTANCE = 42, 4
-#: Lowest bit and width of each block.
-BLOCKS = [(0, 11), (11, 11), (22, 11), (33, 11), (44, 10), (54, 10)]
+#: Blocks beyond the bits that may differ, and fingerprints in a bucket by chance, about.
+MORE_BLOCKS, BY_CHANCE = (2, 3, 4, 5), 8
 #: Rows of a block of a large bucket; runs up to SMALL_RUN rows are compared at once.
 BLOCK_ROWS, SMALL_RUN = 4096, 64
 
@@ -78,18 +82,29 @@ def fingerprints(documents: DataFrame, words_per_shingle: int = 4) -> DataFrame:
     return in_tasks(rows, read, "doc_id bigint, key bigint, fp bigint")
 
 
+def cut_blocks(nodes: int, max_distance: int) -> tuple[list[tuple[int, int]], int]:
+    """(lowest bit, width) of each block, and how many agree: enough for ``nodes`` different fingerprints."""
+    for agree in MORE_BLOCKS:
+        count = max_distance + agree
+        if nodes <= BY_CHANCE << (64 // count * agree) or agree == MORE_BLOCKS[-1]:
+            edges = [64 * i // count for i in range(count + 1)]
+            return [(low, high - low) for low, high in zip(edges, edges[1:], strict=False)], agree
+    raise AssertionError
+
+
 def _block(fp: Column, block: tuple[int, int]) -> Column:
     low, width = block
     return F.shiftrightunsigned(fp, low).bitwiseAND(F.lit((1 << width) - 1))
 
 
-def block_keys(fps: DataFrame) -> DataFrame:
-    """(key, fp) for each pair of blocks of each different fingerprint."""
-    fp = F.col("fp")
-    keys = [
-        F.lit(i << 32).bitwiseOR(F.shiftleft(_block(fp, a), 11)).bitwiseOR(_block(fp, b))
-        for i, (a, b) in enumerate(combinations(BLOCKS, 2))
-    ]
+def block_keys(fps: DataFrame, blocks: list[tuple[int, int]], agree: int) -> DataFrame:
+    """(key, fp) for each choice of ``agree`` blocks of each different fingerprint."""
+    keys = []
+    for i, chosen in enumerate(combinations(blocks, agree)):
+        bits = F.lit(i).cast("bigint")
+        for block in chosen:
+            bits = F.shiftleft(bits, block[1]).bitwiseOR(_block(F.col("fp"), block))
+        keys.append(bits)
     return fps.select(F.explode(F.array(*keys)).alias("key"), "fp")
 
 
@@ -127,7 +142,7 @@ def run_links(fp: np.ndarray, run: np.ndarray, max_distance: int) -> tuple[np.nd
 
 def near_links(fps: DataFrame, max_distance: int = MAX_DISTANCE) -> DataFrame:
     """Links (a, b) that join all different fingerprints within ``max_distance``, transitively."""
-    keys = block_keys(fps)
+    keys = block_keys(fps, *cut_blocks(fps.count(), max_distance))
     sizes = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
     large = stored(sizes.filter(F.col("n") > BLOCK_ROWS), "large_buckets")
     # A row of a bucket of n blocks is in n pairs of blocks; any two rows of it share a pair.
@@ -160,9 +175,7 @@ def _linked(fp: np.ndarray, run: np.ndarray, max_distance: int) -> pa.RecordBatc
 
 
 def _rooted(fps: DataFrame, max_distance: int) -> DataFrame:
-    """(fp, least, root) of the different fingerprints; the pigeonhole needs at most four bits."""
-    if max_distance > len(BLOCKS) - 2:
-        raise ValueError(f"{len(BLOCKS)} blocks find pairs up to {len(BLOCKS) - 2} bits apart")
+    """(fp, least, root) of the different fingerprints."""
     nodes = fps.groupBy("fp").agg(F.min("doc_id").alias("least"))
     roots = components(near_links(nodes.select("fp"), max_distance))
     rooted = nodes.join(roots, F.col("fp") == F.col("node"), "left")
@@ -177,14 +190,3 @@ def simhash_components(documents: DataFrame, words_per_shingle: int = 4, max_dis
     found = rooted.join(smallest, "root").select("fp", "component_id")
     digits = F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint")
     return fps.join(found, "fp").select("doc_id", digits, "component_id")
-
-
-def keep_one(documents: DataFrame, words_per_shingle: int = 4, max_distance: int = MAX_DISTANCE) -> DataFrame:
-    """The row of the smallest doc_id of each component (null last), with all its columns."""
-    fps = stored(fingerprints(documents, words_per_shingle), "fingerprints")
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key"))
-    of_fp = fps.groupBy("fp").agg(first.alias("first")).join(_rooted(fps, max_distance).select("fp", "root"), "fp")
-    chosen = of_fp.groupBy("root").agg(F.min("first").alias("first")).select("first.key").distinct()
-    rows = documents.select(F.struct("*").alias("row"), row_key()).join(chosen, "key", "left_semi")
-    # Rows repeated as a whole have one key.
-    return rows.groupBy("key").agg(F.any_value("row").alias("row")).select("row.*")

@@ -18,7 +18,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from hazemill.llm import bpe, chat, near_copies, packing, pq_dedup, quality, queries, secrets, simhash, suffix_dedup, suffix_tree, token_store
-from hazemill.llm.common import components
+from hazemill.llm.common import components, in_tasks
 from hazemill.session import scratch_path
 from tests.conftest import rows
 
@@ -150,11 +150,19 @@ def test_simhash(documents, empty):
     expected = [(i, f"{f:016x}", least[g]) for (i, f), g in zip(data, group, strict=True)]
     assert rows(simhash.simhash_components(documents)) == sorted(expected, key=repr)
     assert simhash.simhash_components(empty).count() == 0
-    kept = simhash.keep_one(documents)
-    assert kept.columns == documents.columns and kept.count() == len(set(group))
 
 
-def test_simhash_large_buckets(spark, monkeypatch):
+def test_simhash_blocks_grow_with_the_table():
+    chosen = [simhash.cut_blocks(n, 4) for n in (0, 10**6, 10**8, 10**10, 10**13)]
+    assert [(len(blocks), agree) for blocks, agree in chosen] == [(6, 2), (6, 2), (7, 3), (8, 4), (9, 5)]
+    for blocks, agree in chosen:
+        assert len(blocks) - agree == 4 and sum(width for _, width in blocks) == 64
+        assert [low for low, _ in blocks] == np.cumsum([0, *(w for _, w in blocks)])[:-1].tolist()
+
+
+@pytest.mark.parametrize("by_chance", [8, 0])
+def test_simhash_large_buckets(spark, monkeypatch, by_chance):
+    monkeypatch.setattr(simhash, "BY_CHANCE", by_chance)  # none: the most blocks
     monkeypatch.setattr(simhash, "BLOCK_ROWS", 8)
     rng = np.random.default_rng(3)
     base = int(rng.integers(0, 1 << 62))
@@ -227,6 +235,18 @@ def test_long_sketches_never_part_similar_sets():
         assert near_copies.bits_apart(near_copies.long_sketch(one), near_copies.long_sketch(one)) == 0
 
 
+def test_batches_are_bounded_by_bytes(spark):
+    """Spark closes an Arrow batch at ``spark.sql.execution.arrow.maxBytesPerBatch``, 64 MB by default."""
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows]), pa.array([batch.nbytes])], names=["rows", "bytes"])
+
+    texts_ = spark.range(0, 120, 1, 1).selectExpr("repeat('x', 2000000) AS text")
+    found = in_tasks(texts_, sizes, "rows bigint, bytes bigint").collect()
+    assert sum(r.rows for r in found) == 120 and max(r.bytes for r in found) < 80 << 20
+
+
 def test_components_of_a_path(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(300)] + [(1000, 1001), (5, 5)], "a bigint, b bigint")
     found = {r.node: r.root for r in components(links.repartition(4)).collect()}
