@@ -233,6 +233,9 @@ def test_long_sketches_never_part_similar_sets():
         apart = near_copies.bits_apart(near_copies.long_sketch(one), near_copies.long_sketch(two))
         assert apart <= len(np.setxor1d(one, two)) and (n < 300 or apart > 0)
         assert near_copies.bits_apart(near_copies.long_sketch(one), near_copies.long_sketch(one)) == 0
+        short = [np.frombuffer(near_copies.sketch(x), np.uint8) for x in (one, two)]
+        apart = near_copies.sketches_apart(short[0], np.array(short))
+        assert apart[0] == 0 and apart[1] <= len(np.setxor1d(one, two)) and (n < 300 or apart[1] > 0)
 
 
 def test_batches_are_bounded_by_bytes(spark):
