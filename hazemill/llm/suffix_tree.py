@@ -41,7 +41,7 @@ from hazemill.llm.common import Batches, in_tasks, key_filter, stored
 from hazemill.llm.words import split_words
 
 #: Counted grams a task holds before it passes them on.
-HELD = 1 << 20
+HELD = 1 << 21
 GRAMS = "context bigint, symbol bigint, n bigint"
 START = np.uint64(0x5851F42D4C957F2D)
 END = np.uint64(xxhash.xxh64_intdigest(b"", 0))
@@ -56,7 +56,7 @@ class Params:
     discount: float = 0.75
     min_gain: float = 3.0
     #: Names that are broadcast, at most.
-    top: int = 1_000_000
+    top: int = 600_000
     folds: int = 7
     held_out_fold: int = 2
 
@@ -137,21 +137,40 @@ def count_words(texts: DataFrame) -> DataFrame:
 
 
 def _summed(context: np.ndarray, symbol: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    _, first, of = np.unique(mix(context, symbol), return_index=True, return_inverse=True)
-    return context[first], symbol[first], np.bincount(of, n, len(first)).astype(np.int64)
+    name = mix(context, symbol)
+    order = np.argsort(name)
+    name = name[order]
+    first = np.flatnonzero(np.concatenate([[True], name[1:] != name[:-1]])) if len(name) else np.zeros(0, np.int64)
+    own = order[first]
+    return context[own], symbol[own], np.add.reduceat(n[order], first) if len(first) else n
 
 
-def count_grams(texts: DataFrame, contexts: DataFrame, depth: int, min_symbol: int) -> DataFrame:
-    """context, symbol and n (``min_symbol`` or more) after each of ``contexts``, all of one depth."""
-    passes = key_filter(contexts.select(F.col("context").alias("key")))
+def pair_names(context: np.ndarray, symbol: np.ndarray) -> np.ndarray:
+    return mix(mix(context, symbol), PAIR)
+
+
+def count_grams(texts: DataFrame, contexts: DataFrame, depth: int, min_symbol: int, possible: DataFrame) -> DataFrame:
+    """context, symbol and n (``min_symbol`` or more) after each of ``contexts``, all of one depth.
+
+    A symbol comes after a context no more often than after its suffix, and than at all: only what
+    ``possible`` (key: names of symbols, deeper down of pairs of the suffix and a symbol) has is counted.
+    """
+    passes, may = key_filter(contexts.select(F.col("context").alias("key"))), key_filter(possible)
 
     def count(batches: Batches) -> Batches:
         held = [(np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int64))]
         for batch in batches:
             tokens = Tokens.of(batch.column(0))
-            at, name = tokens.contexts(depth)[-1]
+            found = tokens.contexts(depth)
+            at, name = found[-1]
             some = passes(name.view(np.int64))
-            held.append(_summed(name[some], tokens.symbol[at[some]], np.ones(int(some.sum()), np.int64)))
+            at, name = at[some], name[some]
+            symbol = key = tokens.symbol[at]
+            if depth > 1:
+                places, suffix = found[-2]
+                key = pair_names(suffix[np.searchsorted(places, at)], symbol)
+            some = may(key.view(np.int64))
+            held.append(_summed(name[some], symbol[some], np.ones(int(some.sum()), np.int64)))
             if sum(len(h[0]) for h in held) > HELD:
                 held = [_summed(*(np.concatenate(x) for x in zip(*held, strict=True)))]
                 if len(held[0][0]) > HELD // 2:
@@ -159,7 +178,7 @@ def count_grams(texts: DataFrame, contexts: DataFrame, depth: int, min_symbol: i
         if held:
             yield from _gram_batches(_summed(*(np.concatenate(x) for x in zip(*held, strict=True))))
 
-    if passes is None:
+    if passes is None or may is None:
         return texts.sparkSession.createDataFrame([], f"{GRAMS}, parent bigint, total bigint")
     grams = in_tasks(texts, count, GRAMS).groupBy("context", "symbol").agg(F.sum("n").alias("n"))
     return grams.filter(F.col("n") >= min_symbol).join(contexts.select("context", "parent", "total"), "context")
@@ -199,9 +218,10 @@ def build_tree(texts: DataFrame, words: DataFrame, below: float, params: Params)
     contexts = stored(_named(often.union(starts), first, CONTEXTS), "contexts")
     # Of the parent: the probability of each symbol, which the root has for all.
     above = words.select(F.lit(int(ROOT.view(np.int64))).alias("parent"), "symbol", ((F.col("n") + 1) / F.lit(below)).alias("q"))
+    possible = words.filter(F.col("n") >= params.min_symbol).select(F.col("symbol").alias("key"))
     levels = []
     for depth in range(1, params.depth + 1):
-        grams = count_grams(texts, contexts, depth, params.min_symbol)
+        grams = count_grams(texts, contexts, depth, params.min_symbol, possible)
         symbols = stored(grams.join(above, ["parent", "symbol"]), "symbols")
         kept = symbols.groupBy("context").agg(F.sum(F.col("n") - params.discount).alias("kept"), F.sum("n").alias("seen"))
         symbols = symbols.join(kept, "context")
@@ -214,6 +234,7 @@ def build_tree(texts: DataFrame, words: DataFrame, below: float, params: Params)
             extend = lambda c, p, s, n: (mix(c, s), mix(p, s), n)
             contexts = stored(_named(longer, extend, CONTEXTS), "contexts")
             above = symbols.select(F.col("context").alias("parent"), "symbol", F.col("p").alias("q"))
+            possible = _named(symbols.select("context", "symbol"), lambda c, s: (pair_names(c, s),), "key bigint")
     retained, tree = None, None
     for contexts, symbols, chosen in reversed(levels):
         if retained is not None:  # suffixes of retained contexts
@@ -232,7 +253,7 @@ def _pair_names(rows: DataFrame) -> DataFrame:
     def read(batches: Batches) -> Batches:
         for batch in batches:
             context, symbol = (batch.column(i).to_numpy().view(np.uint64) for i in (0, 1))
-            name = mix(mix(context, symbol), PAIR)
+            name = pair_names(context, symbol)
             yield pa.RecordBatch.from_arrays([pa.array(name.view(np.int64)), *batch.columns[2:]], names=["name", "n", "extra"])
 
     return in_tasks(rows, read, "name bigint, n bigint, extra double")
@@ -302,7 +323,7 @@ def score_documents(documents: DataFrame, params: Params = Params()) -> DataFram
             at = np.flatnonzero(found.place > 0)
             wanted = [(at, mix(np.full(len(at), WORD), found.symbol[at]))]
             for places, context in found.contexts(params.depth):
-                wanted += [(places, context), (places, mix(mix(context, found.symbol[places]), PAIR))]
+                wanted += [(places, context), (places, pair_names(context, found.symbol[places]))]
             sums = [np.zeros(size), np.full(size, 0.0), np.zeros(size)]
             rows, others = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
             for places, key in wanted:
