@@ -56,7 +56,7 @@ class Params:
     discount: float = 0.75
     min_gain: float = 3.0
     #: Names that are broadcast, at most.
-    top: int = 600_000
+    top: int = 1_500_000
     folds: int = 7
     held_out_fold: int = 2
 
@@ -79,8 +79,14 @@ def hashed(words: list[str]) -> np.ndarray:
 
 @dataclass(frozen=True)
 class Tokens:
-    """The symbols of a batch of texts side by side, each text after a start mark."""
+    """The symbols of a batch of texts side by side, each text after a start mark.
 
+    ``kinds`` are the different symbols, ``code`` says which one stands at a place: what depends on
+    one symbol alone is looked up once for each kind.
+    """
+
+    kinds: np.ndarray
+    code: np.ndarray
     symbol: np.ndarray
     text: np.ndarray
     place: np.ndarray
@@ -89,22 +95,17 @@ class Tokens:
     def of(texts: pa.Array) -> Tokens:
         lists = split_words(texts)
         encoded = lists.values.dictionary_encode()
-        names = hashed(encoded.dictionary.to_pylist())[encoded.indices.to_numpy()]
+        kinds = np.append(hashed(encoded.dictionary.to_pylist()), np.array([START, END], np.uint64))
+        codes = encoded.indices.to_numpy()
         sizes = np.diff(lists.offsets.to_numpy())
-        real = names != END  # a text without words has one empty word
+        real = kinds[codes] != END  # a text without words has one empty word
         sizes = np.add.reduceat(np.append(real, False), lists.offsets.to_numpy()[:-1]) * (sizes > 0) if len(sizes) else sizes
-        names = names[real]
         first = np.cumsum(sizes + 2) - (sizes + 2)
-        symbol = np.empty(int((sizes + 2).sum()), np.uint64)
+        code = np.full(int((sizes + 2).sum()), len(kinds), np.int64)
+        code[first], code[first + sizes + 1] = len(kinds) - 2, len(kinds) - 1
+        code[code == len(kinds)] = codes[real]
         text = np.repeat(np.arange(len(sizes)), sizes + 2)
-        place = np.arange(len(symbol)) - first[text]
-        marks = np.zeros(len(symbol), bool)
-        marks[first] = True
-        symbol[first] = START
-        marks[first + sizes + 1] = True
-        symbol[first + sizes + 1] = END
-        symbol[~marks] = names
-        return Tokens(symbol, text, place)
+        return Tokens(kinds, code, kinds[code], text, np.arange(len(code)) - first[text])
 
     def contexts(self, depth: int) -> list[tuple[np.ndarray, np.ndarray]]:
         """For each depth from 1 on: the places that have a context of it, and its name there."""
@@ -161,16 +162,19 @@ def count_grams(texts: DataFrame, contexts: DataFrame, depth: int, min_symbol: i
         held = [(np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int64))]
         for batch in batches:
             tokens = Tokens.of(batch.column(0))
-            found = tokens.contexts(depth)
-            at, name = found[-1]
-            some = passes(name.view(np.int64))
-            at, name = at[some], name[some]
-            symbol = key = tokens.symbol[at]
-            if depth > 1:
-                places, suffix = found[-2]
-                key = pair_names(suffix[np.searchsorted(places, at)], symbol)
-            some = may(key.view(np.int64))
-            held.append(_summed(name[some], symbol[some], np.ones(int(some.sum()), np.int64)))
+            if depth == 1:
+                of_kinds = mix(np.full(len(tokens.kinds), ROOT), tokens.kinds)
+                at = np.flatnonzero(tokens.place > 0)
+                at = at[passes(of_kinds.view(np.int64))[tokens.code[at - 1]] & may(tokens.kinds.view(np.int64))[tokens.code[at]]]
+                name, symbol = of_kinds[tokens.code[at - 1]], tokens.symbol[at]
+            else:
+                (places, suffix), (at, name) = tokens.contexts(depth)[-2:]
+                some = passes(name.view(np.int64))
+                at, name = at[some], name[some]
+                symbol = tokens.symbol[at]
+                some = may(pair_names(suffix[np.searchsorted(places, at)], symbol).view(np.int64))
+                name, symbol = name[some], symbol[some]
+            held.append(_summed(name, symbol, np.ones(len(name), np.int64)))
             if sum(len(h[0]) for h in held) > HELD:
                 held = [_summed(*(np.concatenate(x) for x in zip(*held, strict=True)))]
                 if len(held[0][0]) > HELD // 2:
@@ -185,6 +189,8 @@ def count_grams(texts: DataFrame, contexts: DataFrame, depth: int, min_symbol: i
 
 
 def _gram_batches(grams: tuple[np.ndarray, np.ndarray, np.ndarray]) -> Batches:
+    order = np.lexsort((grams[1], grams[0]))  # neighbours of one context take less room
+    grams = [g[order] for g in grams]
     for low in range(0, len(grams[0]), 100_000):
         columns = [pa.array(g[low : low + 100_000].view(np.int64)) for g in grams]
         yield pa.RecordBatch.from_arrays(columns, names=["context", "symbol", "n"])
@@ -308,36 +314,58 @@ def score_documents(documents: DataFrame, params: Params = Params()) -> DataFram
     below = float(tokens + 1 * (kinds + 1))
     names = _lookup(words, build_tree(training, words, below, params))
     least = _most_frequent(names, params.top)
-    top = names.filter(F.col("n") >= least).select("name", "known", "base", "extra").toArrow().sort_by("name")
-    shared = spark.sparkContext.broadcast([top.column(i).to_numpy() for i in range(4)])
+    top = names.filter(F.col("n") >= least).select("name", "n", "extra").toArrow().sort_by("name")
+    shared = spark.sparkContext.broadcast([top.column(i).to_numpy() for i in range(3)])
     passes = key_filter(names.select(F.col("name").alias("key")))
 
     def score(batches: Batches) -> Batches:
-        name, known, base, extra = shared.value
+        name, count, extra = shared.value
         first = TaskContext.get().partitionId() << 33
+
+        def resolve(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            """The place of each name among the broadcast ones, or -1; whether it may be one of the others."""
+            key, place, left = key.view(np.int64), np.full(len(key), -1), np.zeros(len(key), bool)
+            if passes is not None:
+                some = np.flatnonzero(passes(key))
+                at = np.minimum(np.searchsorted(name, key[some]), max(len(name) - 1, 0))
+                there = name[at] == key[some] if len(name) else np.zeros(len(some), bool)
+                place[some[there]] = at[there]
+                left[some[~there]] = True
+            return place, left
+
         for batch in batches:
             if not batch.num_rows:
                 continue
             found = Tokens.of(batch.column(2))
-            size = batch.num_rows
+            size, code = batch.num_rows, found.code
             at = np.flatnonzero(found.place > 0)
-            wanted = [(at, mix(np.full(len(at), WORD), found.symbol[at]))]
-            for places, context in found.contexts(params.depth):
-                wanted += [(places, context), (places, pair_names(context, found.symbol[places]))]
-            sums = [np.zeros(size), np.full(size, 0.0), np.zeros(size)]
-            rows, others = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-            for places, key in wanted:
-                key, row = key.view(np.int64), found.text[places]
-                if passes is None:
-                    break
-                some = passes(key)
-                key, row = key[some], row[some]
-                place = np.minimum(np.searchsorted(name, key), max(len(name) - 1, 0))
-                there = name[place] == key if len(name) else np.zeros(len(key), bool)
-                for total, value in zip(sums, (known, base, extra), strict=True):
-                    total += np.bincount(row[there], value[place[there]], size)
-                rows.append(row[~there])
-                others.append(key[~there])
+            known, base, more = np.zeros(size), np.zeros(size), np.zeros(size)
+            rows, others = [], []
+
+            def met(key: np.ndarray, at: np.ndarray, place: np.ndarray, left: np.ndarray) -> np.ndarray:
+                """Gather what names of words or of the tree give to their texts; which of them are there or may be."""
+                rows.append(found.text[at[left]])
+                others.append(key[left].view(np.int64))
+                return place >= 0
+
+            word = mix(np.full(len(found.kinds), WORD), found.kinds)
+            place, left = (x[code[at]] for x in resolve(word))
+            there = met(word[code[at]], at, place, left)
+            known += np.bincount(found.text[at[there]], minlength=size)
+            base += np.bincount(found.text[at[there]], np.log10(count[place[there]] + 1), size)
+            for depth, (places, context) in enumerate(found.contexts(params.depth), 1):
+                if depth == 1:  # the last token alone
+                    place, left = (x[code[places - 1]] for x in resolve(mix(np.full(len(found.kinds), ROOT), found.kinds)))
+                else:
+                    place, left = resolve(context)
+                there = met(context, places, place, left)
+                more += np.bincount(found.text[places[there]], extra[place[there]], size)
+                # Symbols are kept only after contexts that are retained.
+                after = np.flatnonzero(there | left)
+                pair = pair_names(context[after], found.symbol[places[after]])
+                place, left = resolve(pair)
+                there = met(pair, places[after], place, left)
+                more += np.bincount(found.text[places[after[there]]], extra[place[there]], size)
             row, other = np.concatenate(rows), np.concatenate(others)
             order = np.argsort(row, kind="stable")
             edges = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=size))]).astype(np.int32)
@@ -346,9 +374,9 @@ def score_documents(documents: DataFrame, params: Params = Params()) -> DataFram
                 pa.array(np.arange(first, first + size)),
                 *batch.columns[:2],
                 pa.array(n_tokens.astype(np.int64)),
-                pa.array(sums[0].astype(np.int64)),
-                pa.array(sums[1] - n_tokens * math.log10(below)),
-                pa.array(sums[2]),
+                pa.array(known.astype(np.int64)),
+                pa.array(base - n_tokens * math.log10(below)),
+                pa.array(more),
                 pa.ListArray.from_arrays(pa.array(edges), pa.array(other[order])),
             ]
             first += size
