@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from hazemill.session import kept
+
 
 def fetch_manifest(
     cities: DataFrame,
@@ -55,10 +57,19 @@ def request_keys(manifest: DataFrame, responses: DataFrame) -> tuple[str, ...]:
 
 def attach_results(manifest: DataFrame, responses: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
     """Responses tagged with the id and name of the city asked for. A request without a
-    response drops out; a response with empty arrays stays."""
+    response drops out; a response with empty arrays stays.
+
+    With days among the keys, responses of other days than those asked for drop out before anything
+    is shuffled by key, and what is left is stored: Spark then knows its size, and a manifest of far more
+    requests than answers is not shuffled.
+    """
     keys = keys or request_keys(manifest, responses)
     payload = [c for c in responses.columns if c not in keys and c != "city_name"]
-    tagged = manifest.select(*keys, "city_name").join(responses.select(*keys, *payload), list(keys))
+    answers = responses.select(*keys, *payload)
+    if "start_date" in keys:
+        asked = manifest.select("start_date").distinct()
+        answers = kept(answers.join(asked, "start_date", "left_semi"), "answers")
+    tagged = manifest.select(*keys, "city_name").join(answers, list(keys))
     return tagged.select(*keys, "city_name", *payload)
 
 

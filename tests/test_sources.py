@@ -191,3 +191,19 @@ def test_processed_rerun_replaces_its_drop(spark, tmp_path):
         df = spark.createDataFrame([(7, value, date(2024, 1, 1))], "city_id long, pm10 double, run_date date")
         processed.write_processed(df, path)
     assert rows(processed.read_processed(spark, path, "aq").select("city_id", "pm10", "aqi")) == [(7, 2.0, None)]
+
+
+def test_responses_of_other_days_leave_before_the_join(spark):
+    cities = spark.range(20_000).selectExpr("id AS city_id", "'x' AS city_name", "0D AS lat", "0D AS lon")
+    asked = manifest.fetch_manifest(cities, F.lit(date(2024, 1, 1)), F.lit(date(2024, 1, 3)))
+    day = "IF(id < 3, DATE'2024-01-02', DATE'2023-01-01') AS start_date"
+    answers = spark.range(40_000).selectExpr("id % 20000 AS city_id", day, "id AS n")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "50KB")
+    try:
+        attached = manifest.attach_results(asked, answers)
+        plan = final_plan(attached)
+        assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+        assert rows(attached.select("city_id", "city_name", "n")) == [(i, "x", i) for i in range(3)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
