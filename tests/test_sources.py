@@ -207,3 +207,10 @@ def test_responses_of_other_days_leave_before_the_join(spark):
         assert rows(attached.select("city_id", "city_name", "n")) == [(i, "x", i) for i in range(3)]
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_a_landed_drop_is_one_file_from_many_tasks(spark, tmp_path):
+    documents = spark.range(0, 40, 1, 8).selectExpr("id AS city_id", "date_add(DATE'2024-01-01', CAST(id % 2 AS INT)) AS run_date")
+    landing.write_drop(documents, str(tmp_path / "drops"))
+    assert [len(list((tmp_path / "drops" / f"run_date=2024-01-0{d}").glob("part-*.json"))) for d in (1, 2)] == [1, 1]
+    assert spark.read.json(str(tmp_path / "drops")).count() == 40
