@@ -17,7 +17,7 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def keep_distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: five-word shingles, Jaccard similarity of 0.8 or more."""
+    """One document of each group of near duplicates: SimHash blocks, then exactly by five-word Jaccard of 0.8 or more."""
     return near_copies.keep_one(docs)
 
 

@@ -1,5 +1,10 @@
 """Near copies: texts whose sets of word shingles have a Jaccard similarity of at least 0.8, all of them.
 
+SimHash blocks come first, as in ``simhash``: sets whose fingerprints differ in few bits meet under a
+pair of blocks, and the links that the exact similarity confirms join most near copies. Similar sets
+may differ in more bits than blocks can bring together, so an exact way adds what is left, between
+sets that are not joined yet.
+
 Equal sets are one node. A set's shingles are put in one order for all, by hash, those that a
 sample finds often last. Two sets that are similar enough share a shingle among the first
 ``n - ceil(0.8 n) + 1`` of each, so every such pair meets in the run of a shingle (prefix
@@ -12,8 +17,9 @@ do. What is left is compared by longer sketches, of four to eight parities a shi
 the pairs that pass are verified on the whole sets, which are made again from the texts of their
 documents; sets are never stored. No similar pair is left out, whatever the order; the sample only keeps runs small.
 
-Pairs are verified in two passes: first each run's rows with one hub of it, which joins large
-groups of near copies by few pairs, then all pairs whose nodes are not joined yet. Shingles that the
+These pairs are verified in two passes: first each run's rows with one hub of it and the closest of the
+next ``NEXT_ROWS``, which joins large groups of near copies by few pairs, then all pairs whose nodes
+are not joined yet. Shingles that the
 sample finds often are dealt over many tasks; runs beyond
 ``BLOCK_ROWS`` are split into blocks, and each pair of blocks is its own run. Many sets that share
 a shingle of their prefixes and are of like size, but not similar, are still compared in pairs.
@@ -32,19 +38,23 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from hazemill.llm import simhash
 from hazemill.llm.common import Batches, components, in_tasks, key_filter, stored
 from hazemill.llm.simhash import SEED, row_key, shingle_hashes
 
 WORDS_PER_SHINGLE = 5
 #: Least similarity as a fraction.
 PART, WHOLE = 4, 5
-#: Sets whose shingles are counted for the order, how many of them make a shingle frequent, and how many shingles are.
-SAMPLE_SETS, FREQUENT, MOST_FREQUENT = 20_000, 3, 1_000_000
+#: Sets whose shingles are counted for the order (at least, and one of so many), how many of them make a shingle
+#: frequent, and how many shingles are.
+SAMPLE_SETS, ONE_OF, FREQUENT, MOST_FREQUENT = 20_000, 4, 3, 1_000_000
 BLOCK_ROWS, SALTS = 4096, 64
+#: Rows of a run among which the first pass looks for a row's closest one.
+NEXT_ROWS = 64
 #: Places of a sketch; two counts are a byte.
 PLACES = 256
 SKETCH = ["sketch"]
-SIGNED = "none boolean, doc_id bigint, key bigint, node bigint, n int, long binary, sketch binary"
+SIGNED = "none boolean, doc_id bigint, key bigint, node bigint, n int, fp bigint, long binary, sketch binary"
 #: Low bits of a prefix row's name: whether the shingle is frequent, and its place; higher bits are the shingle's.
 PLACE_BITS = 15
 MOST_PLACE = (1 << PLACE_BITS) - 1
@@ -52,7 +62,11 @@ MOST_PLACE = (1 << PLACE_BITS) - 1
 
 def shingles(text: bytes | None) -> np.ndarray:
     """Different shingles of a text, sorted."""
-    return np.unique(np.array(shingle_hashes(text, WORDS_PER_SHINGLE), np.uint64))
+    return _different(shingle_hashes(text, WORDS_PER_SHINGLE))
+
+
+def _different(hashes: list[int]) -> np.ndarray:
+    return np.unique(np.array(hashes, np.uint64))
 
 
 def similar(common: np.ndarray | int, sizes: np.ndarray | int) -> np.ndarray | bool:
@@ -92,19 +106,23 @@ def _node(body: bytes) -> int:
 
 
 def _signatures(documents: DataFrame) -> DataFrame:
-    """node, first (the row of least doc_id, null last), n and sketch of each different set."""
+    """node, first (the row of least doc_id, null last), n, fingerprint and sketches of each different set."""
 
     def read(batches: Batches) -> Batches:
         for batch in batches:
-            held = [shingles(t) for t in batch.column(2).to_pylist()]
+            held, fps = [], []
+            for text in batch.column(2).to_pylist():
+                hashes = shingle_hashes(text, WORDS_PER_SHINGLE)
+                held.append(_different(hashes))
+                fps.append(simhash.fingerprint_of(hashes))
             node = np.array([_node(h.tobytes()) for h in held], np.uint64).view(np.int64)
-            columns = [batch.column(0).is_null(), *batch.columns[:2], pa.array(node), pa.array([len(h) for h in held], pa.int32())]
+            columns = [batch.column(0).is_null(), *batch.columns[:2], pa.array(node), pa.array([len(h) for h in held], pa.int32()), pa.array(fps, pa.int64())]
             columns += [pa.array([f(h) for h in held], pa.binary()) for f in (long_sketch, sketch)]
-            yield pa.RecordBatch.from_arrays(columns, names=["none", "doc_id", "key", "node", "n", "long", *SKETCH])
+            yield pa.RecordBatch.from_arrays(columns, names=["none", "doc_id", "key", "node", "n", "fp", "long", *SKETCH])
 
     rows = in_tasks(_texts(documents), read, SIGNED)
     first = F.min(F.struct("none", "doc_id", "key")).alias("first")
-    return stored(rows.groupBy("node").agg(first, *(F.any_value(c).alias(c) for c in ("n", "long", *SKETCH))), "signatures")
+    return stored(rows.groupBy("node").agg(first, F.min("fp").alias("fp"), *(F.any_value(c).alias(c) for c in ("n", "long", *SKETCH))), "signatures")
 
 
 def _texts(documents: DataFrame) -> DataFrame:
@@ -112,8 +130,12 @@ def _texts(documents: DataFrame) -> DataFrame:
 
 
 def _frequent(documents: DataFrame, total: int) -> np.ndarray:
-    """Shingles that a bounded sample of texts finds often, sorted."""
-    sample = documents.select(F.col("text").cast("binary")).sample(min(1.0, SAMPLE_SETS / max(total, 1)), 11)
+    """Shingles that a sample of texts finds often, sorted.
+
+    The sample grows with the table, so that how many documents a frequent shingle has does not.
+    """
+    share = min(1.0, max(SAMPLE_SETS, total / ONE_OF) / max(total, 1))
+    sample = documents.select(F.col("text").cast("binary")).sample(share, 11)
 
     def read(batches: Batches) -> Batches:
         for batch in batches:
@@ -196,21 +218,26 @@ def _runs(shared: DataFrame, signatures: DataFrame) -> DataFrame:
     return stored(placed.join(signatures.select("node", "n", *SKETCH), "node"), "prefix_runs")
 
 
-def _candidates(run: list[np.ndarray], hubs: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of a run that sizes, places and sketches allow: with the hub, or the others of different roots."""
+def _candidates(run: list[np.ndarray], few: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of a run, of different roots, that sizes, places and sketches allow: all, or a few for each row."""
     node, n, place, root, bits = run
     left, right = [], []
     rest = n - np.where(place < MOST_PLACE, place, 0)  # the run's shingle and those after it
-    for at in range(1 if hubs else len(node) - 1):
-        other = at + 1 + np.flatnonzero(similar(np.minimum(rest[at], rest[at + 1 :]), n[at] + n[at + 1 :]) & (hubs | (root[at + 1 :] != root[at])))
-        near = (PART + WHOLE) * sketches_apart(bits[at], bits[other]) <= (WHOLE - PART) * (n[at] + n[other])
+    for at in range(len(node) - 1):
+        end = at + 1 + NEXT_ROWS if few and at else len(node)
+        other = at + 1 + np.flatnonzero(similar(np.minimum(rest[at], rest[at + 1 : end]), n[at] + n[at + 1 : end]) & (root[at + 1 : end] != root[at]))
+        apart = sketches_apart(bits[at], bits[other])
+        near = (PART + WHOLE) * apart <= (WHOLE - PART) * (n[at] + n[other])
+        if few and at and near.any():
+            near = [np.argmin(np.where(near, apart, np.iinfo(np.int64).max))]
         right.append(node[other[near]])
         left.append(np.full(len(right[-1]), node[at]))
     return np.concatenate(left), np.concatenate(right)
 
 
-def _pairs(runs: DataFrame, hubs: bool) -> DataFrame:
-    """Different candidate pairs (a, b), a < b, of the runs; ``runs`` has a root for the later pass."""
+def _pairs(runs: DataFrame, links: DataFrame, few: bool) -> DataFrame:
+    """Different candidate pairs (a, b), a < b, of the runs, between nodes that ``links`` do not join."""
+    runs = runs.join(components(links), "node", "left").withColumn("root", F.coalesce("root", "node"))
 
     def read(batches: Batches) -> Batches:
         held = [*[np.zeros(0, np.int64)] * 6, np.zeros((0, PLACES // 2), np.uint8)]
@@ -227,7 +254,7 @@ def _pairs(runs: DataFrame, hubs: bool) -> DataFrame:
             waiting = 0
             for low, high in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
                 if high - low > 1:
-                    found.append(_candidates([c[low:high] for c in held[2:]], hubs))
+                    found.append(_candidates([c[low:high] for c in held[2:]], few))
                     waiting += len(found[-1][0])
                 if waiting > 1 << 18:
                     yield _unique(found)
@@ -316,15 +343,25 @@ def _verified(pairs: DataFrame, documents: DataFrame, signatures: DataFrame, nam
     return stored(in_tasks(joined, read, "a bigint, b bigint").distinct(), name)
 
 
+def _by_fingerprint(signatures: DataFrame) -> DataFrame:
+    """Pairs (a, b), a < b, of nodes that SimHash blocks link: of one fingerprint, or of two that differ in few bits."""
+    firsts = stored(signatures.groupBy("fp").agg(F.min("node").alias("node")), "fingerprints")
+    equal = signatures.select("fp", F.col("node").alias("b")).join(firsts, "fp").select(F.col("node").alias("a"), "b")
+    near = simhash.near_links(firsts.select("fp")).distinct()
+    for end in ("a", "b"):
+        near = near.join(firsts.select(F.col("fp").alias(end), F.col("node").alias(f"{end}_node")), end)
+    near = near.select(F.least("a_node", "b_node").alias("a"), F.greatest("a_node", "b_node").alias("b"))
+    return equal.union(near).filter("a <> b").distinct()
+
+
 def near_links(documents: DataFrame, signatures: DataFrame) -> DataFrame:
     """Links (a, b) that join all different sets that are similar enough, transitively."""
+    links = _verified(_by_fingerprint(signatures), documents, signatures, "hash_links")
     often = _frequent(documents, signatures.count())
     runs = _runs(_shared(_prefixes(documents, often)), signatures)
-    to_hubs = _verified(_pairs(runs.withColumn("root", F.col("node")), True), documents, signatures, "hub_links")
-    roots = components(to_hubs)
-    known = runs.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    others = _pairs(known, False).join(to_hubs, ["a", "b"], "left_anti")
-    return to_hubs.union(_verified(others, documents, signatures, "other_links"))
+    for few, name in ((True, "few_links"), (False, "other_links")):
+        links = links.union(_verified(_pairs(runs, links, few), documents, signatures, name))
+    return links
 
 
 def keep_one(documents: DataFrame) -> DataFrame:

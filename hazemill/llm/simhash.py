@@ -54,7 +54,11 @@ def shingle_hashes(text: bytes | None, words_per_shingle: int) -> list[int]:
 
 def fingerprint(text: bytes | None, words_per_shingle: int) -> int:
     """SimHash of the word shingles of a text, as a signed 64-bit number."""
-    hashes = shingle_hashes(text, words_per_shingle)
+    return fingerprint_of(shingle_hashes(text, words_per_shingle))
+
+
+def fingerprint_of(hashes: list[int]) -> int:
+    """SimHash of hashes, repeats included."""
     if not hashes:
         return 0
     ones = np.zeros(64, np.int64)

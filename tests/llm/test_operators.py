@@ -225,6 +225,23 @@ def test_near_duplicates_stage(spark, empty, monkeypatch):
     assert corpus_pipeline.keep_distinct(spark, empty, "").count() == 0
 
 
+def test_near_duplicates_stage_goes_through_simhash_blocks(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    words = [f"v{k}" for k in rng.integers(0, 3000, 300)]
+    data = [words, [*words[:-1], "edit"], ["edit", *words[1:]], [f"w{k}" for k in rng.integers(0, 3000, 300)]]
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(data)], "doc_id bigint, text string")
+    fps = [simhash.fingerprint(" ".join(w).encode(), 5) & (1 << 64) - 1 for w in data]
+    linked = {(a, b) for a in range(4) for b in range(a + 1, 4) if (fps[a] ^ fps[b]).bit_count() <= simhash.MAX_DISTANCE}
+    assert linked and all(b < 3 for _, b in linked)
+    signatures = near_copies._signatures(docs)
+    ids = {r.node: r.first.doc_id for r in signatures.collect()}
+    found = {tuple(sorted((ids[r.a], ids[r.b]))) for r in near_copies._by_fingerprint(signatures).collect()}
+    assert found <= linked and {i for pair in found for i in pair} == {0, 1, 2}  # equal fingerprints meet in one node
+    called, plain = [], simhash.near_links
+    monkeypatch.setattr(simhash, "near_links", lambda *a: called.append(a) or plain(*a))
+    assert rows(corpus_pipeline.keep_distinct(spark, docs, "").select("doc_id")) == [(0,), (3,)] and len(called) == 1
+
+
 def test_long_sketches_never_part_similar_sets():
     rng = np.random.default_rng(12)
     for n in (0, 1, 7, 300, 5000):
