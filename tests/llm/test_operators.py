@@ -623,6 +623,48 @@ def test_tokens_of_long_texts_and_without_words():
     assert len(set(first[-50_000:].tolist())) == 1 and len(set(second[-49_000:].tolist())) == 1
 
 
+@pytest.mark.parametrize("hot", [1 << 18, 2])
+def test_suffix_tree_sends_arrays_not_rows(documents, monkeypatch, hot):
+    """Grams and look-ups are shuffled as an array per task and bucket; all of them arrive, also of frequent contexts."""
+    monkeypatch.setattr(suffix_tree, "HOT", hot)
+    monkeypatch.setattr(suffix_tree, "HELD", 50)
+    params = suffix_tree.Params(min_context=3, min_symbol=2, min_gain=0.5, top=20)
+    held = lambda i: zlib.crc32(str(i).encode()) % 7 == 2 if i is not None else False
+    words = lambda t: [*(t or "").encode().lower().split(), "end"]
+    joined = []
+    monkeypatch.setattr(suffix_tree, "in_tasks", lambda df, *more: joined.append(df) or in_tasks(df, *more))
+    found = sorted((r.n_tokens, r.doc_id or -1, r.score) for r in suffix_tree.score_documents(documents, params).collect())
+    expected = sorted((len(words(t)), i or -1, s) for (i, t), s in zip(texts(), plain_tree(texts(), held, words, params)))
+    assert [x[2] for x in found] == pytest.approx([x[2] for x in expected])
+    sent = [df for df in joined if "data" in df.columns]
+    assert len(sent) == 4  # grams of both depths, look-ups and their answers
+    assert not any("Join" in df._jdf.queryExecution().optimizedPlan().toString() for df in sent)
+    assert documents.sparkSession.conf.get(suffix_tree.CLEANUP, "false") == "false"
+
+
+def test_grams_survive_packing():
+    rng = np.random.default_rng(2)
+    context, symbol = (suffix_tree.mix(np.full(5000, suffix_tree.ROOT), rng.integers(0, k, 5000).astype(np.uint64)) for k in (40, 300))
+    grams = Counter(zip(context.tolist(), symbol.tolist()))
+    hot = np.array([context[0]], np.uint64)
+    parts = list(suffix_tree._packed_grams(suffix_tree._summed(context, symbol, np.ones(5000, np.uint32)), 7, hot))
+    got, buckets = Counter(), {}
+    for batch in parts:
+        for bucket, data in zip(batch.column(0).to_pylist(), batch.column(1)):
+            for c, x, n in zip(*(a.tolist() for a in suffix_tree._unpacked_grams(data.as_buffer()))):
+                got[c, x] += n
+                buckets.setdefault(c, set()).add(bucket)
+    assert got == grams
+    assert all(len(b) == 1 for c, b in buckets.items() if c != context[0]) and len(buckets[int(context[0])]) == 7
+
+
+def test_places():
+    name = np.unique(np.random.default_rng(3).integers(-(1 << 63), (1 << 63) - 1, 3000))
+    places = suffix_tree.Places(name)
+    assert (places.of(name) == np.arange(len(name))).all() and (places.of(name + 1) == -1).all()
+    assert suffix_tree.Places(name[:0]).of(name).tolist() == [-1] * len(name)
+
+
 def plain_quality(data, limits=quality.Limits()):
     """(n_words, class distance, word distance, kept) of each (lang, text)."""
     word = re.compile("[^\x20\x09-\x0d]+")
