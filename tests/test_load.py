@@ -297,3 +297,23 @@ def test_rows_in_equal_rows_out_plus_misses(spark, warehouse):
     misses = constraints.lookup_misses(processed, dates, hours)
     lost = sum(r["row_count"] for r in misses.collect())
     assert load.locate(processed, dates, hours).count() + lost == 60
+
+
+def test_a_load_lists_the_folders_of_its_dates_alone(spark, warehouse, tmp_path, monkeypatch):
+    """Also one that wins nothing; and rows without a city are neither loaded nor an error."""
+    listed = []
+    stored = Warehouse._stored
+    monkeypatch.setattr(Warehouse, "_stored", lambda *args: listed.append(stored(*args)) or listed[-1])
+    for day in (DAY, date(2024, 3, 9)):
+        newer = versioned(spark, tmp_path, f"new{day}", (*reading(1, day, 5), *version(NEXT, 2, "b")))
+        assert warehouse.load_fact("fact_air_quality", newer) == report(read=1, loaded=1)
+    listed.clear()
+    older = (*reading(1, DAY, 6), *version(DAY, 2, "a")), (*reading(None, DAY, 7), *version(DAY, 2, "a"))
+    found = warehouse.load_fact("fact_air_quality", versioned(spark, tmp_path, "older", *older))
+    assert found == report(read=2, superseded=2)
+    assert [{path.split("/")[-2] for path in df.inputFiles()} for df in listed] == [{f"full_date={DAY:%Y-%m-%d}"}]
+    held = [(DAY, 6), (date(2024, 3, 9), 6)]
+    assert rows(warehouse.read("fact_air_quality").select("full_date", "time_id")) == held
+    again = versioned(spark, tmp_path, "added", *older)
+    assert warehouse.load_fact("fact_air_quality", again, mode="append") == report(read=2, superseded=1, loaded=1)
+    assert rows(warehouse.read("fact_air_quality").select("full_date", "time_id")) == [held[0], (DAY, 7), held[1]]

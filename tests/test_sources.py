@@ -5,6 +5,7 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
+from hazemill import storage
 from hazemill.functions.dates import iso_week
 from hazemill.schemas import HOURLY_AIR
 from hazemill.sources import calendar, landing, manifest, processed
@@ -214,3 +215,15 @@ def test_a_landed_drop_is_one_file_from_many_tasks(spark, tmp_path):
     landing.write_drop(documents, str(tmp_path / "drops"))
     assert [len(list((tmp_path / "drops" / f"run_date=2024-01-0{d}").glob("part-*.json"))) for d in (1, 2)] == [1, 1]
     assert spark.read.json(str(tmp_path / "drops")).count() == 40
+
+
+def test_names_and_holds(spark, tmp_path):
+    folder = tmp_path / "listed"
+    assert storage.names(spark, str(folder)) == [] and not storage.holds(spark, str(folder))
+    (folder / "_temporary").mkdir(parents=True)
+    (folder / ".part.crc").write_text("")
+    assert storage.names(spark, str(folder)) == [] and not storage.holds(spark, str(folder))
+    for name in ("run_date=2024-01-02", "run_date=2024-01-01", "với dấu cách"):
+        (folder / name).mkdir()
+    assert storage.names(spark, str(folder)) == ["run_date=2024-01-01", "run_date=2024-01-02", "với dấu cách"]
+    assert storage.holds(spark, str(folder))
